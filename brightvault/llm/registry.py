@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from brightvault.llm import simhash
+import corpus_pipeline
+from brightvault.llm import chains, chat, exact, langid, lines, mixing, quality, rules, simhash, tokens
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op2_exact": exact.op2_exact,
+    "op3_chat": chat.op3_chat,
+    "op4_passages": chains.op4_passages,
+    "op5_rules": rules.op5_rules,
+    "op6_language": langid.op6_language,
+    "op7_lines": lines.op7_lines,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_bpe": tokens.op9_bpe,
     "op10_simhash": simhash.op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact": exact.OP2_SQL,
+    "op3_chat": chat.OP3_SQL,
+    "op5_rules": rules.OP5_SQL,
+    "op7_lines": lines.OP7_SQL,
+    "op8_mixing": mixing.OP8_SQL,
+}
