@@ -6,10 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brightvault.operators import business, stage, vault  # noqa: F401  (each registers its models)
+from brightvault.plans.model import MODELS, checking_sql, frame
+from brightvault.sources.adapter import landing, landing_sql
+
+#: Models that only serve others.
+INNER = {"parsed", "actor_cohorts", "cohort_users", "cohort_totals"}
+
+
+def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"landing": landing(spark, sf_dir)}
+
+
+def base() -> dict[str, str]:
+    return {"landing": landing_sql()}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    out = {n: (lambda spark, d, n=n: frame(n, given(spark, d))) for n in MODELS if n not in INNER}
+    out["landing_scan"] = landing
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out = {n: checking_sql(n, base()) for n in MODELS if n not in INNER}
+    out["landing_scan"] = landing_sql()
+    return out
