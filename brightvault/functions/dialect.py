@@ -48,6 +48,9 @@ SPARK = BOTH | {
     "iso": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     "ms": "date_trunc('millisecond', {0})",
     "div": "(CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE))",
+    "each": "explode(array_compact(array({0})))",
+    "st": "named_struct('a', {0}, 'b', {1}, 'c', {2})",
+    "st5": "named_struct('a', {0}, 'b', {1}, 'c', {2}, 'd', {3}, 'e', {4})",
 }
 
 DUCK = BOTH | {
@@ -71,6 +74,9 @@ DUCK = BOTH | {
     "iso": "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')",
     "ms": "date_trunc('millisecond', {0})",
     "div": "(CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE))",
+    "each": "unnest(list_filter([{0}], lambda x: x IS NOT NULL))",
+    "st": "struct_pack(a := {0}, b := {1}, c := {2})",
+    "st5": "struct_pack(a := {0}, b := {1}, c := {2}, d := {3}, e := {4})",
 }
 
 

@@ -6,29 +6,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightvault.operators import business, stage, vault  # noqa: F401  (each registers its models)
+from brightvault.operators import business, contracts, invariants, stage, trust, vault  # noqa: F401  (each registers its models)
+from brightvault.plans import extra
+from brightvault.plans.constants import LAYERS, CONSTANTS, constant, constant_sql
 from brightvault.plans.model import MODELS, checking_sql, frame
+from brightvault.plans.tables import prepared
 from brightvault.sources.adapter import landing, landing_sql
 
 #: Models that only serve others.
-INNER = {"parsed", "actor_cohorts", "cohort_users", "cohort_totals"}
+INNER = {
+    "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
+    "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "contract_privacy_lifecycle", "contract_personal_recap",
+}
+INNER_LIKE = ("orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
+STAGES = LAYERS["stage"][2]
+#: What a query's plan would compute again and again, and is written once instead.
+SHARED = {
+    "trust_": (*STAGES, *LAYERS["business_vault"][2], "trust_partition_obs"),
+    "inv_trust": (*STAGES, *LAYERS["business_vault"][2], "trust_partition_obs"),
+    "trust_source_obs": STAGES,
+    "trust_target_obs": STAGES,
+    "trust_partition_obs": (*STAGES, *LAYERS["business_vault"][2]),
+    "inv_link": (*STAGES, "inv_link_keys"),
+    "inv_hub": (*STAGES, "hub_rows"),
+    "inv_satellite": (*STAGES, "stg_voice_sessions", "sat_rows"),
+    "inv_pit_content": ("sat_content_event", "pit_content_daily"),
+    "contract_inventory_gate": (*STAGES, "contract_results"),
+    "quality_run_result": (*STAGES, "contract_results"),
+}
 
 
 def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"landing": landing(spark, sf_dir)}
+    return {"landing": landing(spark, sf_dir)} | {n: constant(spark, n) for n in CONSTANTS}
 
 
 def base() -> dict[str, str]:
-    return {"landing": landing_sql()}
+    return {"landing": landing_sql()} | {n: constant_sql(n) for n in CONSTANTS}
+
+
+def published() -> list[str]:
+    return [n for n in MODELS if n not in INNER and not n.endswith("_counts") and not n.startswith(INNER_LIKE) or n in ("reconcile_source_counts", "reconcile_target_counts")]
+
+
+def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A model over the test events."""
+    tables = given(spark, sf_dir)
+    shared = SHARED.get(name) or next((s for k, s in SHARED.items() if k.endswith("_") and name.startswith(k)), ())
+    return frame(name, prepared(tables, *shared))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = {n: (lambda spark, d, n=n: frame(n, given(spark, d))) for n in MODELS if n not in INNER}
-    out["landing_scan"] = landing
-    return out
+    out = {n: (lambda spark, d, n=n: build(spark, d, n)) for n in published()}
+    return out | {"landing_scan": landing} | extra.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {n: checking_sql(n, base()) for n in MODELS if n not in INNER}
-    out["landing_scan"] = landing_sql()
-    return out
+    out = {n: checking_sql(n, base()) for n in published()}
+    return out | {"landing_scan": landing_sql()} | extra.oracles()
