@@ -15,7 +15,7 @@ from brightvault.sources.adapter import landing, landing_sql
 
 #: Models that only serve others.
 INNER = {
-    "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
+    "raw_texts", "raw_events", "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
     "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "contract_privacy_lifecycle", "contract_personal_recap",
 }
 INNER_LIKE = ("orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")

@@ -1,7 +1,95 @@
-"""Queries that are not models."""
+"""Queries that are not models: ingest in batch and as a stream."""
 
-QUERIES = {}
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brightvault.plans.model import checking_sql, frame
+from brightvault.plans.tables import written
+from brightvault.sources import raw
+from brightvault.sources.adapter import landing, landing_sql
+from brightvault.streaming import ingest
+from brightvault.streaming.validate import validated
+
+PLACE = ["source_partition", "source_offset"]
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame("raw_events", {"landing": landing(spark, sf_dir)})
+
+
+def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts, written once: a filter on them would otherwise be pushed into the parsing and repeat it."""
+    return written(validated(raw_events(spark, sf_dir)), "verdicts")
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw records through the streaming loop: what landed, and what was refused."""
+    files = written(raw_events(spark, sf_dir), "topic")
+    root = files.inputFiles()[0].rsplit("/", 1)[0]
+    source = spark.readStream.schema(files.schema).parquet(root)
+    out = f"{root}-{uuid.uuid4().hex}"
+    query = ingest.run_stream(source, f"{out}/out", f"{out}/offsets")
+    query.awaitTermination()
+    good = spark.read.parquet(f"{out}/out/landing").select(*PLACE, F.lit("landed").alias("verdict"))
+    return good.unionByName(spark.read.parquet(f"{out}/out/dlq").select(*PLACE, F.col("error_code").alias("verdict")))
+
+
+def of(check: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: check(checked(spark, d))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "source_event_stream": lambda spark, d: raw_events(spark, d).select("source_topic", *PLACE, F.lower(F.hex("value")).alias("value_hex")),
+    "ingest_validate": of(lambda c: c.select(*PLACE, "error_code")),
+    "ingest_accept": of(lambda c: ingest.accepted(c).select("event_id", "event_name", "event_version", "producer", "privacy_class", "subject_user_hash", "subject_session_id", *PLACE)),
+    "ingest_reject": of(lambda c: ingest.rejected(c).select(*PLACE, "event_id", "event_name", "error_code")),
+    "ingest_error_counts": of(lambda c: c.where("error_code IS NOT NULL").groupBy("error_code").count().withColumnRenamed("count", "n")),
+    "ingest_safe_identity": of(lambda c: c.select(*PLACE, "safe_event_id", "safe_event_name")),
+    "ingest_hashes": of(lambda c: c.select(*PLACE, "raw_record_sha256", "raw_record_bytes")),
+    "dlq_sink": of(lambda c: ingest.rejected(c).select(*PLACE, "event_id", "event_name", "error_code", "error_message", "raw_record_sha256", "raw_record_bytes")),
+    "dlq_topic_record": of(ingest.dlq_records),
+    "landing_insert_if_absent": of(lambda c: ingest.insert_if_absent(ingest.accepted(c), None).select("event_id", *PLACE)),
+    "ingest_dedupe": of(lambda c: ingest.first_arrivals(ingest.accepted(c)).select("event_id", "source_offset")),
+    "ingest_checkpoint": of(ingest.checkpoints),
+    "ingest_metrics": of(ingest.metrics),
+    "ingest_lag": lambda spark, d: ingest.lag(raw_events(spark, d)).select(*PLACE, "last_lag"),
+    "ingest_stream": streamed,
+}
+
+GOOD = f"({raw.CODE}) IS NULL"
+KNOWN = "source_offset % 29 NOT IN (1, 2, 3, 24)"
+ID = f"CASE WHEN {KNOWN} AND source_offset % 29 <> 4 THEN {raw.EVENT_ID.replace('{{txt|source_offset - 23}}', '(source_offset - 23)::VARCHAR')} END"
+NAME = f"CASE WHEN {KNOWN} THEN {raw.NAME} END"
+FIRST = f"SELECT arg_min(event_id, (source_partition, source_offset)) AS event_id, min((source_partition, source_offset)) AS p FROM (SELECT {ID} AS event_id, source_partition, source_offset FROM landing WHERE {GOOD}) GROUP BY event_id"
+HASH = "'sha256:' || sha256(value)"
+MESSAGE = "substr(replace(error_code, '_', ' '), 1, 500)"
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    base = {"landing": landing_sql()}
+    land = f"WITH landing AS ({landing_sql()}) "
+    bytes_ = checking_sql("raw_events", base).removesuffix("\nSELECT * FROM raw_events")
+    return {
+        "source_event_stream": f"{bytes_} SELECT source_topic, source_partition, source_offset, lower(hex(value)) AS value_hex FROM raw_events",
+        "ingest_validate": land + f"SELECT source_partition, source_offset, {raw.CODE} AS error_code FROM landing",
+        "ingest_accept": land + f"SELECT {ID} AS event_id, event_name, 1 AS event_version, 'fixture' AS producer, 'pseudonymous' AS privacy_class, subject_user_hash, subject_session_id, source_partition, source_offset FROM landing WHERE {GOOD}",
+        "ingest_reject": land + f"SELECT source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD}",
+        "ingest_error_counts": land + f"SELECT {raw.CODE} AS error_code, count(*) AS n FROM landing WHERE NOT {GOOD} GROUP BY 1",
+        "ingest_safe_identity": land + f"SELECT source_partition, source_offset, {ID} AS safe_event_id, {NAME} AS safe_event_name FROM landing",
+        "ingest_hashes": f"{bytes_} SELECT source_partition, source_offset, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM raw_events",
+        "landing_insert_if_absent": land + f"SELECT event_id, p[1] AS source_partition, p[2] AS source_offset FROM ({FIRST})",
+        "ingest_dedupe": land + f"SELECT event_id, p[2] AS source_offset FROM ({FIRST})",
+        "ingest_checkpoint": land + "SELECT source_topic, source_partition, max(source_offset) AS last_offset FROM landing GROUP BY ALL",
+        "ingest_metrics": land
+        + f"SELECT source_topic, count(*) FILTER ({GOOD}) AS accepted_count, count(*) FILTER (NOT {GOOD}) AS rejected_count, count(*) FILTER ({GOOD}) - count(DISTINCT CASE WHEN {GOOD} THEN {ID} END) AS duplicate_count,"
+        " arg_max(source_partition, source_offset) AS last_processed_partition, max(source_offset) AS last_processed_offset FROM landing GROUP BY source_topic",
+        "ingest_lag": land + "SELECT source_partition, source_offset, max(source_offset) OVER (PARTITION BY source_topic, source_partition) - source_offset AS last_lag FROM landing",
+        "ingest_stream": land + f"SELECT source_partition, source_offset, coalesce({raw.CODE}, 'landed') AS verdict FROM landing WHERE NOT {GOOD} OR (source_partition, source_offset) IN (SELECT p FROM ({FIRST}))",
+        "dlq_sink": f"{bytes_}, v AS (SELECT source_offset, value FROM raw_events), d AS (SELECT source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD})"
+        f" SELECT source_partition, source_offset, event_id, event_name, error_code, {MESSAGE} AS error_message, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM d JOIN v USING (source_offset)",
+    }

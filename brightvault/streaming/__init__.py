@@ -1 +1 @@
-"""The streaming of the warehouse."""
+"""Validation and landing of the event stream."""
