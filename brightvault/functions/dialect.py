@@ -48,6 +48,10 @@ SPARK = BOTH | {
     "iso": "date_format({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     "ms": "date_trunc('millisecond', {0})",
     "div": "(CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE))",
+    "keys": "map_keys({0})",
+    "split": "explode(split({0}, ','))",
+    "list": "array({0})",
+    "unlisted": "size(array_except({0}, {1}))",
     "bytes": "CAST(CASE WHEN {1} THEN concat(CAST({0} AS BINARY), X'FF') ELSE CAST({0} AS BINARY) END AS BINARY)",
     "each": "explode(array_compact(array({0})))",
     "st": "named_struct('a', {0}, 'b', {1}, 'c', {2})",
@@ -75,6 +79,10 @@ DUCK = BOTH | {
     "iso": "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')",
     "ms": "date_trunc('millisecond', {0})",
     "div": "(CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE))",
+    "keys": "json_keys({0})",
+    "split": "unnest(string_split({0}, ','))",
+    "list": "[{0}]",
+    "unlisted": "CAST(len(list_filter({0}, lambda k: NOT list_contains({1}, k))) AS INTEGER)",
     "bytes": "CASE WHEN {1} THEN encode({0}) || '\\xFF'::BLOB ELSE encode({0}) END",
     "each": "unnest(list_filter([{0}], lambda x: x IS NOT NULL))",
     "st": "struct_pack(a := {0}, b := {1}, c := {2})",

@@ -116,7 +116,7 @@ KINDS = "row_count failed_rows missing duplicate invalid".split()
 RESULT = same("contract_name check_name kind column_name failed_count status")
 add("contract_results", Model(tuple(CONTRACTS), parts=(RESULT,) * len(CONTRACTS)))
 for _k in KINDS:
-    add(f"contract_{_k}", Model("contract_landing" if _k in ("row_count", "failed_rows") else "contract_coverage_registry", RESULT, where=f"kind = '{_k}'"))
+    add(f"contract_{_k}", Model("contract_landing", RESULT, where=f"kind = '{_k}'"))
 
 #: Contracts that run on tables of their own, handed over by name.
 OTHER = {

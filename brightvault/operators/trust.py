@@ -279,10 +279,16 @@ add(
     "late_open_window",
     Model("reconcile_source_counts", {"closes_at": "min({{closes|reporting_date}})", "open_until": "min({{plus_minutes|{{closes|reporting_date}};;180}})"}, group=same("source_model reporting_date")),
 )
+# The registries, with what the published tables show of them.
+add("contract_usage", Model("contract_uses", {"published_rows": "count(*)"}, group=same("metric_contract_id")))
+add("contract_uses", Model("mart_rows", {"metric_contract_id": "{{split|metric_contract_ids}}"}))
+REGISTRY = "business_vault_model expected_grain suppression_rule wording_status product_layer_contract_status"
 add(
-    "bdv_contract_coverage",
-    Model("metric_contracts", {**same("metric_contract_id business_vault_model expected_grain suppression_rule wording_status product_layer_contract_status"), "source_completeness_label": "'partial'", "coverage_status": "'covered_in_phase2_bdv'"}),
+    "registered",
+    Model("metric_contracts", {"metric_contract_id": "l.metric_contract_id", **same(REGISTRY), "published_rows": "{{long|coalesce(r.published_rows, 0)}}"}, join=("contract_usage", "left", "l.metric_contract_id = r.metric_contract_id")),
 )
-add("mart_contract_coverage", Model("bdv_contract_coverage", same("metric_contract_id business_vault_model expected_grain source_completeness_label suppression_rule wording_status coverage_status product_layer_contract_status")))
-add("metric_contract_registry", Model("bdv_contract_coverage", same("metric_contract_id business_vault_model expected_grain suppression_rule wording_status coverage_status")))
-add("asset_contract_registry", Model("asset_contracts"))
+add("bdv_contract_coverage", Model("registered", {**same("metric_contract_id published_rows", REGISTRY), "source_completeness_label": "'partial'", "coverage_status": "'covered_in_phase2_bdv'"}))
+add("mart_contract_coverage", Model("bdv_contract_coverage", same("metric_contract_id published_rows source_completeness_label coverage_status", REGISTRY)))
+add("metric_contract_registry", Model("bdv_contract_coverage", same("metric_contract_id business_vault_model expected_grain suppression_rule wording_status coverage_status published_rows")))
+add("asset_days", Model("offered", {"observed_days": "{{distinct|reporting_date}}"}, group={"asset": "concat('stage.', e.a)"}))
+add("asset_contract_registry", Model("asset_contracts", {**same("asset_key", CONTRACT), "observed_days": "{{long|coalesce(observed_days, 0)}}"}, join=("asset_days", "left", "l.asset_key = r.asset")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightvault.operators import business, contracts, invariants, stage, trust, vault  # noqa: F401  (each registers its models)
+from brightvault.operators import business, contracts, invariants, lifecycle, stage, trust, vault  # noqa: F401  (each registers its models)
 from brightvault.plans import extra
 from brightvault.plans.constants import LAYERS, CONSTANTS, constant, constant_sql
 from brightvault.plans.model import MODELS, checking_sql, frame
@@ -15,7 +15,7 @@ from brightvault.sources.adapter import landing, landing_sql
 
 #: Models that only serve others.
 INNER = {
-    "raw_texts", "raw_events", "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
+    "raw_texts", "raw_events", "privacy_judged", "privacy_records", "published_failures", "failed_checks", "missing_audits", "privacy_ref_events", "canary_counts", "evidence_counts", "hourly_counts", "hourly_partials", "hot_events", "contract_uses", "contract_usage", "registered", "asset_days", "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
     "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "contract_privacy_lifecycle", "contract_personal_recap",
 }
 INNER_LIKE = ("orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
@@ -30,6 +30,7 @@ SHARED = {
     "inv_link": (*STAGES, "inv_link_keys"),
     "inv_hub": (*STAGES, "hub_rows"),
     "inv_satellite": (*STAGES, "stg_voice_sessions", "sat_rows"),
+    **{n: STAGES for n in ("bdv_contract_coverage", "mart_contract_coverage", "metric_contract_registry", "inv_mart_contract_ids", "contract_coverage_registry", "inv_mart_duplicate_keys", "inv_mart_metadata", "inv_bdv_formula")},
     "inv_pit_content": ("sat_content_event", "pit_content_daily"),
     "contract_inventory_gate": (*STAGES, "contract_results"),
     "quality_run_result": (*STAGES, "contract_results"),
@@ -45,7 +46,7 @@ def base() -> dict[str, str]:
 
 
 def published() -> list[str]:
-    return [n for n in MODELS if n not in INNER and not n.endswith("_counts") and not n.startswith(INNER_LIKE) or n in ("reconcile_source_counts", "reconcile_target_counts")]
+    return [n for n in MODELS if n not in INNER and not (n.endswith("_counts") and n.startswith("contract_")) and not n.startswith(INNER_LIKE)]
 
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

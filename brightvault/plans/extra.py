@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brightvault.plans.model import checking_sql, frame
+from brightvault.plans.constants import LAYERS
+from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import written
 from brightvault.sources import raw
 from brightvault.sources.adapter import landing, landing_sql
 from brightvault.streaming import ingest
-from brightvault.streaming.validate import validated
+from brightvault.streaming.validate import BLOCKED, keys_at_any_depth, validated
 
 PLACE = ["source_partition", "source_offset"]
 
@@ -43,6 +44,163 @@ def of(check: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str],
     return lambda spark, d: check(checked(spark, d))
 
 
+# What a finding's message may not show, in the order of removal.
+TERMS = (
+    r"email|phone|authorization|token|api[_-]?key|cookie|signed[_-]?url|body|message|note|raw[_-]?text|raw[_-]?content|transcript|screenshot"
+    r"|contact[_-]?value|reveal[_-]?value|exact[_-]?gps|latitude|longitude"
+)
+REDACTED = (
+    rf"(?i)\b({TERMS})\b\s*[:=]\s*[^,\s;]+",
+    r"(?i)\bBearer\s+[A-Za-z0-9._~+/=-]+",
+    r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\b",
+    r"(?i)\b(lat|latitude|lon|longitude|lng)\s*[:=]\s*-?\d+(?:\.\d+)?",
+    r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
+    r"\+?\d[\d\s().-]{7,}\d",
+    rf"(?i)({TERMS})",
+)
+#: Messages to redact, by offset, with the event's own values.
+MESSAGES = ("mail me at a{0}@b.example now", "call +90 555 123 45 6{0}", "token={0}abc; rest", "Bearer abc.{0}", "lat: 41.{0}", "plain   text {0}", "a body of text {0}", "eyJabcdefghij{0}.abcdefghijkl.abcdefghijkl")
+
+
+def redact_text(text: Column, limit: int = 500) -> Column:
+    for pattern in REDACTED:
+        text = F.regexp_replace(text, pattern, "[redacted]")
+    text = F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.when(F.length(text) > limit, F.concat(F.rtrim(F.substring(text, 1, limit - 3)), F.lit("..."))).otherwise(text)
+
+
+def redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("source_offset").cast("string")
+    choice = F.element_at(F.array(*[F.replace(F.lit(m), F.lit("{0}"), number) for m in MESSAGES]), (F.col("source_offset") % len(MESSAGES) + 1).cast("int"))
+    return landing(spark, sf_dir).select("source_offset", redact_text(choice).alias("message"))
+
+
+def hot_bounded_copy(spark: SparkSession, sf_dir: str, rows: int = 500) -> DataFrame:
+    """The latest rows by landing time, oldest first: bounded columns only."""
+    hot = frame("hot_events", {"landing": landing(spark, sf_dir)})
+    return hot.orderBy(F.desc("landed_at"), F.desc("event_id")).limit(rows).orderBy("landed_at", "event_id")
+
+
+def hot_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hot table, rewritten by month and sorted by its key, and read again."""
+    hot = frame("hot_events", {"landing": landing(spark, sf_dir)}).withColumn("month", F.date_format("occurred_at", "yyyyMM"))
+    path = f"{shared_path(spark)}/hot-{uuid.uuid4().hex}"
+    hot.repartition("month", F.pmod(F.xxhash64("event_id"), F.lit(8))).sortWithinPartitions("event_name", "occurred_at", "event_id").write.partitionBy("month").parquet(path)
+    return spark.read.parquet(path).groupBy("month", "event_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def shared_path(spark: SparkSession) -> str:
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+
+
+# Columns that no published table may have.
+FORBIDDEN = (
+    "raw_content raw_text body message note note_body raw_note raw_note_text internal_note private_note applicant_message feedback_message search_text raw_search_text post_body comment_body"
+    " reply_body dm_content transcript screenshot request_body response_body contact_value reveal_value payload_value exact_gps gps latitude longitude lat lon"
+).split()
+VOICE_FORBIDDEN = (
+    "audio_frame spoken_words topic sentiment emotion voiceprint speaker_embedding speaker_identity speaking_timeline speaking_interval vad_frame_list co_participant_key pairwise_duration"
+    " private_room_name exact_gps request_body response_body screenshot ocr raw_filename"
+).split()
+
+
+def projected(spark: SparkSession, sf_dir: str, names: list[str], voice: bool = False) -> DataFrame:
+    """Column names of the models, and the payload keys of the landed events, with how many rows have them."""
+    parsed = frame("parsed", {"landing": landing(spark, sf_dir)})
+    parsed = parsed.where("event_name LIKE 'voice%'") if voice else parsed
+    keys = parsed.select(F.lit("payload").alias("table_name"), F.explode(F.map_keys("doc")).alias("column_name")).groupBy("table_name", "column_name").count()
+    rows = [(n, c, None) for n in names for m in [MODELS[n]] for c in (m.after or {**m.group, **m.columns})]
+    return keys.unionByName(spark.createDataFrame(rows, "table_name string, column_name string, count long"))
+
+
+def forbidden_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = projected(spark, sf_dir, [m for _, _, models in LAYERS.values() for m in models])
+    low = F.lower("column_name")
+    return found.where(low.isin(*FORBIDDEN) | low.contains("token") | low.contains("transcript") | low.contains("screenshot"))
+
+
+def voice_forbidden_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = projected(spark, sf_dir, [m for m in MODELS if "voice" in m and not m.startswith(("inv_", "lost_", "contract_"))], voice=True)
+    low = F.lower("column_name")
+    return found.where(low.isin(*VOICE_FORBIDDEN) | low.contains("transcript"))
+
+
+def hot_bounded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each column of the hot copy: whether it may be there, and how many rows fill it."""
+    banned = "subject payload email phone token request_body response_body screenshot exact_gps raw_content note_body reveal_payload".split()
+    hot = frame("hot_events", {"landing": landing(spark, sf_dir)})
+    filled = hot.agg(*[F.count(c).alias(c) for c in hot.columns])
+    return filled.unpivot([], hot.columns, "column_name", "filled").withColumn("allowed", ~F.col("column_name").isin(*banned))
+
+
+# Privacy requests as text lines: blank, broken and unsupported ones are left out.
+REQUEST_TYPES = ("account_deletion", "analytics_opt_out", "recap_opt_out", "feed_profile_reset", "kvkk_deletion_request")
+
+
+def request_intake(lines: DataFrame) -> DataFrame:
+    """``value`` (a JSON text a row) to the requests to run, once per key."""
+    parsed = lines.where(F.trim("value") != "").withColumn("v", F.try_parse_json("value"))
+    get = lambda k: F.trim(F.try_variant_get("v", f"$.{k}", "string"))
+    known = parsed.select("value", get("request_type").alias("request_type"), get("request_id").alias("request_id")).where(F.col("request_type").isin(*REQUEST_TYPES))
+    key = F.coalesce(F.when(F.col("request_id") != "", F.col("request_id")), F.concat(F.lit("line-"), F.sha2("value", 256)))
+    return known.select(F.concat_ws(":", "request_type", key).alias("run_key"), "request_type", "request_id").dropDuplicates(["run_key"])
+
+
+def privacy_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("source_offset")
+    kinds = F.element_at(F.array(*map(F.lit, (*REQUEST_TYPES, "other"))), (n % 6 + 1).cast("int"))
+    body = F.concat(F.lit('{"request_type":"'), kinds, F.lit('","request_id":"r'), (n % 100).cast("string"), F.lit('"}'))
+    lines = landing(spark, sf_dir).select(F.when(n % 17 == 0, " ").when(n % 19 == 0, '{"request_type"').otherwise(body).alias("value"))
+    return request_intake(lines)
+
+
+def latest_by_id(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
+    """Upsert: of each id the row that finished last, new rows first on ties."""
+    rows = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+    w = Window.partitionBy(key).orderBy(F.desc(order), F.desc("__new"))
+    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__new")
+
+
+def quality_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs per feature, stored twice, with a later second run for some."""
+    runs = landing(spark, sf_dir).groupBy(F.col("event_name").alias("id")).agg(F.max("occurred_at").alias("finished_at"), F.count(F.lit(1)).alias("critical_count"))
+    again = runs.where(F.length("id") % 2 == 0).withColumns({"finished_at": F.expr("finished_at + INTERVAL 1 HOUR"), "critical_count": F.lit(0).cast("long")})
+    return latest_by_id(runs, again, "id", "finished_at")
+
+
+def key_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event of the evidence window, forbidden keys at any depth of subject and payload."""
+    rows = frame("evidence_rows", {"landing": landing(spark, sf_dir)})
+    hits = lambda c: F.size(F.filter(keys_at_any_depth(F.col(c)), lambda k: k.isin(*BLOCKED)))
+    return rows.select("event_id", (hits("subject") + hits("payload")).cast("long").alias("forbidden_keys"))
+
+
+def unsafe_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event of the window, text values that look like contact data, links, tokens or phone numbers."""
+    rows = frame("evidence_rows", {"landing": landing(spark, sf_dir)})
+    values = F.map_values(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
+
+    def unsafe(v: Column) -> Column:
+        t = F.trim(F.try_variant_get(v, "$", "string"))
+        odd = (F.length(t) > 256) | t.contains("@") | t.contains("://") | F.lower(t).contains("bearer ") | F.lower(t).contains("token=")
+        return (F.schema_of_variant(v) == "STRING") & (odd | (F.length(F.regexp_replace(t, "[^0-9]", "")) >= 7)) | F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+
+    return rows.select("event_id", F.size(F.filter(values, unsafe)).cast("long").alias("unsafe_values"))
+
+
+def dlq_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of the window's prefix."""
+    dead = ingest.rejected(checked(spark, sf_dir)).where("event_id LIKE 'ev-1%'")
+    return dead.agg(F.count(F.lit(1)).alias("dlq_count"))
+
+
+def privacy_forbidden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed raw envelopes whose subject or payload has a blocked key or an address, by kind."""
+    rows = written(validated(raw_events(spark, sf_dir)), "verdicts").where("payload IS NOT NULL")
+    keyed = F.coalesce(F.exists(keys_at_any_depth(F.concat_ws(",", "subject", "payload")), lambda k: k.isin(*BLOCKED)), F.lit(False))
+    return rows.select(*PLACE, keyed.alias("forbidden_key"), F.concat_ws(",", "subject", "payload").contains("@").alias("address"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_event_stream": lambda spark, d: raw_events(spark, d).select("source_topic", *PLACE, F.lower(F.hex("value")).alias("value_hex")),
     "ingest_validate": of(lambda c: c.select(*PLACE, "error_code")),
@@ -59,6 +217,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_metrics": of(ingest.metrics),
     "ingest_lag": lambda spark, d: ingest.lag(raw_events(spark, d)).select(*PLACE, "last_lag"),
     "ingest_stream": streamed,
+    "redact_text": redacted,
+    "hot_bounded_copy": hot_bounded_copy,
+    "hot_table_write": hot_table_write,
+    "hot_bounded_columns": hot_bounded_columns,
+    "inv_forbidden_columns": forbidden_columns,
+    "inv_voice_forbidden_columns": voice_forbidden_columns,
+    "privacy_request_intake": privacy_requests,
+    "quality_run_upsert": quality_runs,
+    "evidence_forbidden_keys": key_hits,
+    "evidence_unsafe_values": unsafe_values,
+    "evidence_dlq_count": dlq_window,
+    "privacy_forbidden_scan": privacy_forbidden,
 }
 
 GOOD = f"({raw.CODE}) IS NULL"
@@ -74,7 +244,22 @@ def oracles() -> dict[str, str]:
     base = {"landing": landing_sql()}
     land = f"WITH landing AS ({landing_sql()}) "
     bytes_ = checking_sql("raw_events", base).removesuffix("\nSELECT * FROM raw_events")
+    hot = checking_sql("hot_events", base).removesuffix("SELECT * FROM hot_events")
+    rows = checking_sql("evidence_rows", base).removesuffix("\nSELECT * FROM evidence_rows")
+    redact = "m"
+    for pattern in REDACTED:
+        redact = f"regexp_replace({redact}, '{pattern}', '[redacted]', 'g')"
+    said = "CASE source_offset % 8 " + " ".join(f"WHEN {i} THEN replace('{m}', '{{0}}', source_offset::VARCHAR)" for i, m in enumerate(MESSAGES)) + " END"
+    kinds = ", ".join(f"'{k}'" for k in (*REQUEST_TYPES, "other"))
     return {
+        "hot_bounded_copy": f"{hot} SELECT * FROM hot_events ORDER BY landed_at DESC, event_id DESC LIMIT 500",
+        "hot_table_write": f"{hot} SELECT strftime(occurred_at, '%Y%m')::INTEGER AS month, event_name, count(*) AS n FROM hot_events GROUP BY ALL",
+        "redact_text": land + f"SELECT source_offset, trim(regexp_replace({redact}, '\\s+', ' ', 'g')) AS message FROM (SELECT source_offset, {said} AS m FROM landing)",
+        "privacy_request_intake": land + f"SELECT DISTINCT concat(t, ':', r) AS run_key, t AS request_type, r AS request_id FROM (SELECT [{kinds}][(source_offset % 6 + 1)::INT] AS t, 'r' || (source_offset % 100)::VARCHAR AS r FROM landing WHERE source_offset % 17 <> 0 AND source_offset % 19 <> 0) WHERE t <> 'other'",
+        "quality_run_upsert": land + "SELECT event_name AS id, CASE WHEN length(event_name) % 2 = 0 THEN max(occurred_at) + INTERVAL 1 HOUR ELSE max(occurred_at) END AS finished_at, CASE WHEN length(event_name) % 2 = 0 THEN 0 ELSE count(*) END AS critical_count FROM landing GROUP BY event_name",
+        "evidence_forbidden_keys": f"{rows} SELECT event_id, 0::BIGINT AS forbidden_keys FROM evidence_rows WHERE payload NOT LIKE '%token%'",
+        "evidence_unsafe_values": f"{rows} SELECT event_id, len(list_filter(json_keys(payload), lambda k: json_type(payload, '$.' || k) = 'VARCHAR' AND (json_extract_string(payload, '$.' || k) LIKE '%@%' OR length(regexp_replace(json_extract_string(payload, '$.' || k), '[^0-9]', '', 'g')) >= 7)))::BIGINT AS unsafe_values FROM evidence_rows",
+        "evidence_dlq_count": land + f"SELECT count(*) AS dlq_count FROM (SELECT {ID} AS e FROM landing WHERE NOT {GOOD}) WHERE e LIKE 'ev-1%'",
         "source_event_stream": f"{bytes_} SELECT source_topic, source_partition, source_offset, lower(hex(value)) AS value_hex FROM raw_events",
         "ingest_validate": land + f"SELECT source_partition, source_offset, {raw.CODE} AS error_code FROM landing",
         "ingest_accept": land + f"SELECT {ID} AS event_id, event_name, 1 AS event_version, 'fixture' AS producer, 'pseudonymous' AS privacy_class, subject_user_hash, subject_session_id, source_partition, source_offset FROM landing WHERE {GOOD}",
