@@ -21,19 +21,20 @@ INNER = {
 INNER_LIKE = ("orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
 STAGES = LAYERS["stage"][2]
 #: What a query's plan would compute again and again, and is written once instead.
-SHARED = {
-    "trust_": (*STAGES, *LAYERS["business_vault"][2], "trust_partition_obs"),
-    "inv_trust": (*STAGES, *LAYERS["business_vault"][2], "trust_partition_obs"),
-    "trust_source_obs": STAGES,
-    "trust_target_obs": STAGES,
-    "trust_partition_obs": (*STAGES, *LAYERS["business_vault"][2]),
-    "inv_link": (*STAGES, "inv_link_keys"),
-    "inv_hub": (*STAGES, "hub_rows"),
-    "inv_satellite": (*STAGES, "stg_voice_sessions", "sat_rows"),
-    **{n: STAGES for n in ("bdv_contract_coverage", "mart_contract_coverage", "metric_contract_registry", "inv_mart_contract_ids", "contract_coverage_registry", "inv_mart_duplicate_keys", "inv_mart_metadata", "inv_bdv_formula")},
-    "inv_pit_content": ("sat_content_event", "pit_content_daily"),
-    "contract_inventory_gate": (*STAGES, "contract_results"),
-    "quality_run_result": (*STAGES, "contract_results"),
+DAILY = LAYERS["business_vault"][2]
+SHARED: dict[str, tuple[tuple[str, ...], ...]] = {
+    "trust_": (STAGES, DAILY, ("trust_partition_obs",)),
+    "inv_trust": (STAGES, DAILY, ("trust_partition_obs",)),
+    "trust_source_obs": (STAGES,),
+    "trust_target_obs": (STAGES,),
+    "trust_partition_obs": (STAGES, DAILY),
+    "inv_link": (STAGES,),
+    "inv_hub": (STAGES, ("hub_rows",)),
+    "inv_satellite": ((*STAGES, "stg_voice_sessions"), ("sat_rows",)),
+    **{n: (STAGES,) for n in ("bdv_contract_coverage", "mart_contract_coverage", "metric_contract_registry", "inv_mart_contract_ids", "contract_coverage_registry", "inv_mart_duplicate_keys", "inv_mart_metadata", "inv_bdv_formula")},
+    "inv_pit_content": (("sat_content_event",), ("pit_content_daily",)),
+    "contract_inventory_gate": (STAGES, ("contract_results",)),
+    "quality_run_result": (STAGES, ("contract_results",)),
 }
 
 

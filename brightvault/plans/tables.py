@@ -8,11 +8,15 @@ shared folder and hands the written tables to the rest of the plan.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from brightvault.plans.model import frame
 
+#: Jobs that are submitted at once; a small one leaves most of a cluster idle.
+WRITERS = 6
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a parquet table in the shared folder; it goes when the application ends."""
@@ -25,9 +29,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def prepared(given: dict[str, DataFrame], *names: str) -> dict[str, DataFrame]:
-    """``given`` with the models ``names`` written, each from those before it."""
+def prepared(given: dict[str, DataFrame], *waves: tuple[str, ...]) -> dict[str, DataFrame]:
+    """``given`` with models written: those of a wave side by side, each from the waves before."""
     given = dict(given)
-    for n in names:
-        given[n] = written(frame(n, given), n)
+    for wave in waves:
+        with ThreadPoolExecutor(WRITERS) as pool:
+            tables = list(pool.map(lambda n, g=given: written(frame(n, g), n), wave))
+        given = given | dict(zip(wave, tables, strict=True))
     return given
