@@ -11,7 +11,7 @@ from brightvault.plans import extra
 from brightvault.plans.constants import LAYERS, CONSTANTS, constant, constant_sql
 from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import prepared
-from brightvault.sources.adapter import landing, landing_sql
+from brightvault.sources.adapter import landing_sql, stored
 
 #: Models that only serve others.
 INNER = {
@@ -39,7 +39,7 @@ SHARED: dict[str, tuple[tuple[str, ...], ...]] = {
 
 
 def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"landing": landing(spark, sf_dir)} | {n: constant(spark, n) for n in CONSTANTS}
+    return {"landing": stored(spark, sf_dir)} | {n: constant(spark, n) for n in CONSTANTS}
 
 
 def base() -> dict[str, str]:
@@ -59,7 +59,7 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {n: (lambda spark, d, n=n: build(spark, d, n)) for n in published()}
-    return out | {"landing_scan": landing} | extra.QUERIES
+    return out | {"landing_scan": stored} | extra.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,7 +12,9 @@ from brightvault.plans.constants import LAYERS
 from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import written
 from brightvault.sources import raw
-from brightvault.sources.adapter import landing, landing_sql
+from brightvault.sources.adapter import landing_sql
+from brightvault.sources.adapter import stored as landing
+from brightvault.sources.shared import shared_dir
 from brightvault.streaming import ingest
 from brightvault.streaming.validate import BLOCKED, keys_at_any_depth, validated
 
@@ -84,15 +86,11 @@ def hot_bounded_copy(spark: SparkSession, sf_dir: str, rows: int = 500) -> DataF
 def hot_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hot table, rewritten by month and sorted by its key, and read again."""
     hot = frame("hot_events", {"landing": landing(spark, sf_dir)}).withColumn("month", F.date_format("occurred_at", "yyyyMM"))
-    path = f"{shared_path(spark)}/hot-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/hot-{uuid.uuid4().hex}"
     hot.repartition("month", F.pmod(F.xxhash64("event_id"), F.lit(8))).sortWithinPartitions("event_name", "occurred_at", "event_id").write.partitionBy("month").parquet(path)
     return spark.read.parquet(path).groupBy("month", "event_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def shared_path(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
-
-
 # Columns that no published table may have.
 FORBIDDEN = (
     "raw_content raw_text body message note note_body raw_note raw_note_text internal_note private_note applicant_message feedback_message search_text raw_search_text post_body comment_body"

@@ -7,26 +7,20 @@ shared folder and hands the written tables to the rest of the plan.
 
 from __future__ import annotations
 
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from brightvault.plans.model import frame
+from brightvault.sources.shared import write_table
 
 #: Jobs that are submitted at once; a small one leaves most of a cluster idle.
 WRITERS = 6
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a parquet table in the shared folder; it goes when the application ends."""
-    spark = df.sparkSession
-    shared = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
-    path = f"{shared}/model-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` as a parquet table in the shared folder."""
+    return write_table(df, name)[0]
 
 
 def prepared(given: dict[str, DataFrame], *waves: tuple[str, ...]) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightvault.functions.dialect import DUCK, SPARK, render
+from brightvault.sources.shared import write_table
 
 #: Event names by type: the name holds below the bound of k.
 NAMES = {
@@ -99,11 +100,33 @@ STEPS = (
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 landing columns, a row per event."""
     df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:  # one small file would keep one core busy; large tables are left as they are
+        df = df.repartition(cores)
     for step in STEPS:
         df = df.select(*[F.expr(render(e, _SPARK)).alias(c) for c, e in step.items()])
     return df
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table as a table: written once per application and input, then read.
+
+    Derived on the fly, each filter on a landed column would be pushed into the
+    derivation and repeat it; a stored table takes the filter at its scan.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _stored.get(key)
+    if path:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return spark.read.parquet(path)
+    table, _stored[key] = write_table(landing(spark, sf_dir), "landing")
+    return table
+
+
 def landing_sql() -> str:
     sql = "events"
     for step in STEPS:
