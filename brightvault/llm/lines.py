@@ -38,7 +38,9 @@ def placed_lines(docs: DataFrame, words: int) -> DataFrame:
         F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source"))).alias("site"),
         F.transform(F.split("text", "\n"), bare).alias("lines"),
     ).where("text_key IS NOT NULL")
-    around = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.xxhash64(F.get("lines", i - 1), F.get("lines", i + 1)).alias("around")))
+    # A hash passes over nulls, so the edge of a text is a mark: first before x is not last after x.
+    beside = lambda i: F.coalesce(F.get("lines", i), F.lit("\0"))
+    around = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.xxhash64(beside(i - 1), beside(i + 1)).alias("around")))
     rows = cut.select("text_key", "site", F.explode(around).alias("l")).where(F.regexp_count("l.line", F.lit(WORD)) >= words)
     return rows.select("text_key", "site", F.xxhash64("l.line").alias("h"), "l.around")
 
