@@ -153,6 +153,19 @@ def test_passages(spark):
     assert chains.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_of_texts_whose_seeds_smaller_texts_have_too(spark):
+    """Pieces of a passage stand in many other texts, none of which has enough of it."""
+    rng = random.Random(3)
+    rows, want = [], set()
+    for i in range(0, 1000, 100):
+        shared = words(rng, 72)
+        rows += [(i + j, " ".join(words(rng, 50) + shared + words(rng, 20))) for j in (1, 2)]
+        rows += [(i + 10 + j, " ".join(words(rng, 40) + shared[k : k + 24] + words(rng, 40))) for j, k in enumerate((0, 12, 24, 36, 48))]
+        want |= {(i + j, 50, 122) for j in (1, 2)}
+    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert {d for d, _, _ in got} == {d for d, _, _ in want}
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_chains_are_best(seed):
     """The Fenwick tree's chain scores as much as the best over all pairs."""
