@@ -166,6 +166,18 @@ def test_passages_of_texts_whose_seeds_smaller_texts_have_too(spark):
     assert {d for d, _, _ in got} == {d for d, _, _ in want}
 
 
+def test_a_chain_that_is_not_alike_is_cut_into_its_passages(spark):
+    """Two passages in the same order, with unrelated words between."""
+    rng = random.Random(8)
+    rows, want = [], set()
+    for i, (size, far) in enumerate([(100, 60), (100, 100), (100, 300), (500, 300), (500, 1000), (500, 1800)]):
+        one, two = words(rng, size), words(rng, size)
+        rows += [(10 * i + j, " ".join(words(rng, 20) + one + words(rng, far) + two + words(rng, 20))) for j in (1, 2)]
+        want |= {(10 * i + j, s, s + size) for j in (1, 2) for s in (20, 20 + size + far)}
+    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_chains_are_best(seed):
     """The Fenwick tree's chain scores as much as the best over all pairs."""
