@@ -1,10 +1,10 @@
 """Boilerplate lines, found by the number of distinct sites that print them.
 
-A line's sites and its surroundings (the lines before and after it) go into
-two HyperLogLog sketches per line hash, merged by aggregation.  A line goes if
-it stands on ``sites`` sites or more, in as many different surroundings: copies
-of one document repeat its lines but keep their neighbours, so that a document
-that is copied everywhere doesn't lose its text.  Lines whose estimates are
+A line's sites and the texts that hold it go into two HyperLogLog sketches per
+line hash, merged by aggregation.  A line goes if it stands on ``sites`` sites
+or more, in as many different texts: copies of one document are one text, so
+that a document that is copied everywhere doesn't lose its lines.  What stands
+around a line doesn't count.  Lines whose estimates are
 within ``band`` of the threshold get exact distinct counts instead.  Lines
 under ``words`` words stay.
 
@@ -32,28 +32,25 @@ def bare(line: Column) -> Column:
 
 
 def placed_lines(docs: DataFrame, words: int) -> DataFrame:
-    """A row per line of enough words: text key, line hash, site, surroundings."""
+    """A row per line of enough words: text key, site, line hash."""
     cut = docs.select(
         F.md5("text").alias("text_key"),
         F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source"))).alias("site"),
         F.transform(F.split("text", "\n"), bare).alias("lines"),
     ).where("text_key IS NOT NULL")
-    # A hash passes over nulls, so the edge of a text is a mark: first before x is not last after x.
-    beside = lambda i: F.coalesce(F.get("lines", i), F.lit("\0"))
-    around = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.xxhash64(beside(i - 1), beside(i + 1)).alias("around")))
-    rows = cut.select("text_key", "site", F.explode(around).alias("l")).where(F.regexp_count("l.line", F.lit(WORD)) >= words)
-    return rows.select("text_key", "site", F.xxhash64("l.line").alias("h"), "l.around")
+    rows = cut.select("text_key", "site", F.explode("lines").alias("line")).where(F.regexp_count("line", F.lit(WORD)) >= words)
+    return rows.select("text_key", "site", F.xxhash64("line").alias("h"))
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES, band: float = BAND, log_k: int = LOG_K) -> DataFrame:
-    """Hashes ``h`` of lines on ``sites`` sites in ``sites`` surroundings."""
+    """Hashes ``h`` of lines on ``sites`` sites in ``sites`` texts."""
     sketch = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(log_k)))
-    about = lines.groupBy("h").agg(sketch("site").alias("n_sites"), sketch("around").alias("n_around"))
+    about = lines.groupBy("h").agg(sketch("site").alias("n_sites"), sketch("text_key").alias("n_texts"))
     low, high = sites * (1 - band), sites * (1 + band)
-    about = stash(about.where((F.col("n_sites") >= low) & (F.col("n_around") >= low)).withColumn("sure", (F.col("n_sites") > high) & (F.col("n_around") > high)), "spread")
+    about = stash(about.where((F.col("n_sites") >= low) & (F.col("n_texts") >= low)).withColumn("sure", (F.col("n_sites") > high) & (F.col("n_texts") > high)), "spread")
     near = about.where("NOT sure").select("h")
-    exact = lines.join(small(near), "h", "left_semi").groupBy("h").agg(F.count_distinct("site").alias("s"), F.count_distinct("around").alias("a"))
-    return about.where("sure").select("h").unionByName(exact.where((F.col("s") >= sites) & (F.col("a") >= sites)).select("h"))
+    exact = lines.join(small(near), "h", "left_semi").groupBy("h").agg(F.count_distinct("site").alias("s"), F.count_distinct("text_key").alias("t"))
+    return about.where("sure").select("h").unionByName(exact.where((F.col("s") >= sites) & (F.col("t") >= sites)).select("h"))
 
 
 def without_boilerplate(docs: DataFrame, sites: int = SITES, words: int = WORDS, removed: str = "n_removed") -> DataFrame:

@@ -121,6 +121,16 @@ def test_lines(spark):
     assert lines.without_boilerplate(docs.where("false")).columns == [*docs.columns, "n_removed"]
 
 
+def test_lines_go_whatever_stands_around_them(spark):
+    """Boilerplate between blank lines, inside a block, at the edge of a header and of a footer."""
+    top, block, foot = ["all our news today", "from the whole city"], ["you may use this", "under the terms below", "without any other right"], ["write to our office", "all rights are reserved"]
+    bad = [*top, "set between blank lines", *block, *foot]
+    rows = [(i, "\n".join([*top, f"own {i} words", "", "set between blank lines", "", f"more {i} words", *block, f"last {i} words", *foot]), f"s{i}") for i in range(12)]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    got = lines.without_boilerplate(docs).collect()
+    assert all(r.n_removed == len(bad) and r.text == f"own {r.doc_id} words\n\n\nmore {r.doc_id} words\nlast {r.doc_id} words" for r in got)
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi é"), (1, 2, "bob", None), (1, 3, "ann", "bye"), (1, None, None, "lost"), (2, 0, "system", "alone"), (None, 1, "eve", "x"), (3, 0, "u", "a"), (3, 513, "u", "b")]
     got = chat.rotations(frame(spark, rows, "conv_id long, turn long, role string, text string")).collect()
