@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brightvault.operators.lifecycle import FROM, TO
 from brightvault.plans.constants import LAYERS
 from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import written
@@ -187,8 +188,9 @@ def unsafe_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dead letters of the window's prefix."""
-    dead = ingest.rejected(checked(spark, sf_dir)).where("event_id LIKE 'ev-1%'")
+    """Dead letters of the evidence window's prefix that landed in its time or up to five minutes after it."""
+    timed = landing(spark, sf_dir).where(f"landed_at BETWEEN {FROM} AND {TO} + INTERVAL 5 MINUTES").select(*PLACE)
+    dead = ingest.rejected(checked(spark, sf_dir)).where("event_id LIKE 'ev-%'").join(timed, PLACE, "left_semi")
     return dead.agg(F.count(F.lit(1)).alias("dlq_count"))
 
 

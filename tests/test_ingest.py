@@ -77,3 +77,18 @@ def test_stream_replays_land_once(spark, tmp_path):
 def test_redaction(spark, text):
     got = spark.createDataFrame([(text,)], "t string").select(extra.redact_text(extra.F.col("t")).alias("t")).collect()[0].t
     assert len(got) <= 500 and not any(x in got for x in ("@", "555", "abc.def", "eyJ", "41.02"))
+
+
+def test_dead_letters_of_the_evidence_window(spark):
+    """All of the prefix count, and those that landed more than five minutes after the window don't."""
+    import datetime
+
+    from brightvault.plans import extra
+
+    where = "/root/testdata/sf0.001"
+    at = {(r.source_partition, r.source_offset): r.landed_at for r in extra.landing(spark, where).select(*extra.PLACE, "landed_at").collect()}
+    dead = [r for r in ingest.rejected(extra.checked(spark, where)).collect() if (r.event_id or "").startswith("ev-")]
+    start, end = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 5, 0, 5)
+    want = [r for r in dead if start <= at[r.source_partition, r.source_offset] <= end]
+    assert any(not r.event_id.startswith("ev-1") for r in want)
+    assert extra.dlq_window(spark, where).collect()[0].dlq_count == len(want)
