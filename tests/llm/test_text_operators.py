@@ -231,3 +231,66 @@ def test_language_on_held_out_rows(spark):
     odd = langid.identify(frame(spark, [(1, None), (2, ""), (3, "123 !?"), (4, "the")]), model).collect()
     assert [r.lang_pred for r in odd[:3]] == ["und"] * 3 and odd[3].lang_pred in {"en", "de", "fr", "es"}
     assert langid.train(docs.where("false")) is None
+
+
+def test_passages_are_found_at_the_stated_likeness(spark):
+    """Words changed at random, frequent phrases all around, passages that stand twice in a text."""
+    rng = random.Random(5)
+    phrases = [words(rng, 12) for _ in range(20)]
+
+    def around(n):
+        return [w for _ in range(n) for w in (rng.choice(phrases) if rng.random() < 0.3 else words(rng, 12))]
+
+    rows, want = [], {}
+    for i in range(240):
+        size, rate = (80, 200)[i % 2], (0, 0.1, 0.15, 0.18)[i // 2 % 4]
+        one = words(rng, size)
+        changed = set(rng.sample(range(size), int(rate * size)))
+        two = ["c" + w if j in changed else w for j, w in enumerate(one)]
+        for doc, p in ((2 * i, one), (2 * i + 1, two)):
+            before, again = around(5), around(4) if doc % 10 == 0 else None
+            rows.append((doc, " ".join(before + p + (again + p if again else []) + around(3))))
+            want[doc] = (rate, [len(before)] + ([len(before) + size + len(again)] if again else []), size)
+    got = collections.defaultdict(list)
+    for r in chains.repeated_passages(frame(spark, rows).repartition(8)).collect():
+        got[r.doc_id].append((r.start_word, r.end_word))
+    found = collections.defaultdict(list)
+    for doc, (rate, places, size) in want.items():
+        found[rate] += [any(min(s + size, e) - max(s, b) >= 0.8 * size for b, e in got[doc]) for s in places]
+        assert all(any(min(s + size, e) - max(s, b) > 0 for s in places) for b, e in got[doc])
+    assert all(found[0]) and all(found[0.1]) and all(sum(v) >= 0.9 * len(v) for v in found.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_gaps_align_by_their_longest_common_subsequence(seed):
+    import numpy as np
+
+    rng = random.Random(seed)
+    x, y = ([rng.randrange(9) for _ in range(rng.randint(1, 90))] for _ in range(2))
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, a in enumerate(x):
+        for j, b in enumerate(y):
+            best[i + 1][j + 1] = best[i][j] + 1 if a == b else max(best[i][j + 1], best[i + 1][j])
+    assert chains.common(np.array(x), np.array(y)) == best[-1][-1]
+
+
+def test_hot_seeds_and_busy_texts_lose_nothing(spark, monkeypatch):
+    """A passage that all texts share, with every bound so low that each of the ways for large inputs is taken."""
+    monkeypatch.setattr(chains, "RANGE", 8)
+    monkeypatch.setattr(chains, "SHARE", 4)
+    rng = random.Random(6)
+    shared = words(rng, 70)
+    rows = [(i, " ".join(words(rng, 30) + shared + words(rng, 30))) for i in range(60)]
+    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
+    assert got == {(i, 30, 100) for i in range(60)}
+
+
+def test_words_are_cut_alike_in_every_size_of_text():
+    rng = random.Random(1)
+    texts = [None, "", " ", "a", "Ünï \x0b x", *("".join(rng.choice("ab \\n\\téX") for _ in range(rng.randint(0, 400))) for _ in range(50)), "w1 w2 " * 200_000, "x" * 3_000_000]
+    for text, (n, seeds, at) in zip(texts, chains.seeds_of_texts(texts), strict=True):
+        w = chains.word_hashes(text)
+        if len(text or "") < 2_000_000:
+            assert n == len(w) == len((text or "").encode().split())
+        k = chains.kmers(w)
+        assert (k[at].view("int64") == seeds).all() and (len(w) < chains.WORDS or len(at) == (k < (1 << 64) // chains.SPARSE).sum())
