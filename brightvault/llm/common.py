@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 #: Characters between words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows up to which a side of a join may be broadcast (16 to 32 bytes a row).
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a side of a join may be broadcast.
+BROADCAST_BYTES = 32 << 20
+#: A key is hot if it holds more than one in so many of all rows, and FEW at least: so many keys can be hot at most.
+HOT, FEW = 1 << 16, 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's, or one for local runs."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    """The folder that driver and executors share: the cluster's. Only a local run may do without."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (path or "file:///tmp/checkpoints").rstrip("/")
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
@@ -40,9 +45,30 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if it has at most BROADCAST_ROWS rows; else Spark joins by shuffle."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+def small(df: DataFrame, width: int = 32) -> DataFrame:
+    """``df``, a written table with rows of ``width`` bytes, marked for broadcast if all fit in
+    BROADCAST_BYTES; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
+
+
+def facts_of(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``facts``: a row per ``key``, whose ``n`` counts the rows that have it.
+
+    Keys that hold a large share of the rows meet their facts by broadcast, so that no task
+    gets all rows of one key; the others are dealt by key.  Both tables are written ones.
+    """
+    most = max(FEW, (facts.agg(F.sum("n")).collect()[0][0] or 0) // HOT)
+    hot = F.broadcast(facts.where(F.col("n") > most))  # HOT rows at most
+    cold = rows.join(hot.select(key), key, "left_anti").join(facts.where(F.col("n") <= most), key)
+    return cold.unionByName(rows.join(hot, key)).drop("n")
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that no column has (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -57,5 +83,10 @@ def spread(*cols: Column | str) -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows a Python worker gets at once; long texts must not meet in one batch by the ten thousand."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Rows a Python worker gets at once; long texts must not meet in one batch by the ten thousand.
+
+    The setting is the session's: it is only lowered.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

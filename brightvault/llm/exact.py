@@ -1,16 +1,17 @@
 """Exact duplicates by an extendible-hash index on shared files.
 
-Every row goes into the index with the 64-bit hash of its normalised text.  The
-directory is cut by leading bits of that hash: it starts with one bucket, and
-doubles where a bucket holds more than ``capacity`` hashes, which splits that
-bucket by one more bit, up to ``depth`` bits.  The index is written to the shared
-folder; a bucket is a range of hashes, and one task owns a run of ranges.
-
-A hash that occurs once is settled by the index alone.  Rows whose hash occurs
-again form a chain: their bytes are brought together by bucket, hash and the
-text itself, so that equal bytes meet and a collision makes one more entry of
-the chain.  Copies are counted before the shuffle, so a group that holds a
-third of all rows costs each task one entry.  All of it is DataFrame work.
+The index holds each 64-bit hash of a normalised text once, with the number of its
+rows.  A bucket is a range of hashes, told by leading bits.  The directory starts
+with one bucket and doubles while a bucket holds more than ``capacity`` hashes,
+which splits that bucket by one more bit, up to ``depth`` bits.  Runs of buckets
+are dealt to owner tasks, each of which writes its key range as a file of the index,
+in the order of bucket and hash.
+
+A hash with one row is settled by the index alone.  The rows of the others form
+chains: their texts are fetched, copies are merged where they lie, and what is left
+goes to the owner of the bucket, which compares the bytes: equal bytes are one entry
+of the chain, a collision makes one more.  A group that holds a third of all rows
+costs its owner one entry for each of ``LANES`` lanes.  All of it is DataFrame work.
 
 Defined cases: a null text is an empty one; null doc_ids sort last among equals;
 of rows that repeat id and text exactly one is kept; an empty table gives no rows.
@@ -18,20 +19,28 @@ of rows that repeat id and text exactly one is kept; an empty table gives no row
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import BLANKS, small, stash, table
+from brightvault.llm.common import BLANKS, facts_of, small, stash, table
 
-CAPACITY, DEPTH = 50_000, 12
+#: Hashes of a bucket, and bits of the directory at most (2^20 cells are 24 MB).
+CAPACITY, DEPTH = 50_000, 20
+#: Lanes in which the copies of a chain are merged before they go to its owner.
+LANES = 16
+
+
+def cell(depth: int) -> Column:
+    return F.shiftrightunsigned("h", 64 - depth)
 
 
 def directory(hashes: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
     """``h`` to ``cell`` (its leading ``depth`` bits), ``bits`` and ``bucket``; at most 2^depth rows.
 
-    A cell belongs to the shallowest prefix that is not overfull.
+    All doublings at once: the hashes are counted by cell, the counts summed for each
+    shorter prefix, and a cell belongs to the shortest prefix that is not overfull.
     """
-    cells = hashes.groupBy(F.shiftrightunsigned("h", 64 - depth).alias("cell")).count()
+    cells = hashes.groupBy(cell(depth).alias("cell")).count()
     levels = cells.select("cell", "count", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("bits"))
     levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {depth} - bits)"))
     full = levels.groupBy("bits", "bucket").agg(F.sum("count").alias("n"))
@@ -39,38 +48,39 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -
     return fits.groupBy("cell").agg(F.min(F.struct("bits", "bucket")).alias("b")).select("cell", "b.bits", "b.bucket")
 
 
-def index(docs: DataFrame) -> DataFrame:
-    """The index files: row_no, doc_id, hash, length of the original, SHA-256 and the normalised text."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", F.char_length(text).cast("long").alias("n_points"), F.translate(text, BLANKS, "").alias("norm"))
-    return stash(rows.select("row_no", "doc_id", "n_points", F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("sha"), "norm"), "index")
+def index(keys: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
+    """The index files: bits, bucket, first (the bucket's first cell), h, n_rows (that have the hash).
+
+    A task owns the key range of its file: no bucket lies in two files.
+    """
+    hashes = stash(keys.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows")), "hashes")
+    cells = F.broadcast(stash(directory(hashes, capacity, depth), "directory"))  # 2^depth rows at most
+    placed = hashes.withColumn("cell", cell(depth)).join(cells, "cell")
+    placed = placed.select("bits", "bucket", F.expr(f"shiftleft(bucket, {depth} - bits)").alias("first"), "h", "n_rows")
+    return stash(placed.repartitionByRange("first").sortWithinPartitions("first", "h"), "index")
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
     """``doc_id, text`` to doc_id, keep_id, group_size, kept, text_sha256, n_points."""
-    files = index(docs)
-    narrow = files.drop("norm")
-    again = stash(files.groupBy("h").count().where("count > 1").select("h"), "again")
-    n = again.count()
-    dirs = F.broadcast(directory(again, capacity, depth))  # 2^depth rows at most
-    chains = files.join(small(again, n), "h", "left_semi").withColumn("cell", F.shiftrightunsigned("h", 64 - depth)).join(dirs, "cell")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.translate(text, BLANKS, "").alias("norm"))
+    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_points"), F.xxhash64("norm").alias("h"), "norm")
+    keys = stash(rows.select("doc_id", "n_points", "h", F.sha2("norm", 256).alias("sha")), "keys")
+    files = index(keys, capacity, depth)
+    chained = small(stash(files.where("n_rows > 1").select("h", "first"), "chained"))
+    alone = keys.join(chained, "h", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "n_points")
+
+    members = rows.join(chained, "h").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_points", "h", "first", F.sha2("norm", 256).alias("sha"), "norm")
+    members = stash(members, "members")
     order = F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row_no").alias("row"))
-    entries = (
-        chains.groupBy("bits", "bucket", "h", "norm")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best"), F.first("sha").alias("sha"))
-        .select("h", "sha", "group_size", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"))
-    )
-    entries = stash(entries, "entries")
-    found = narrow.join(small(entries, n), ["h", "sha"], "left")
-    alone = F.col("keep_row").isNull()
-    return found.select(
-        "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("row_no") == F.col("keep_row"))).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-        "n_points",
-    )
+    merged = members.groupBy("first", "h", "norm", F.pmod("row_no", F.lit(LANES)).alias("lane")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("best"), F.first("sha").alias("sha"))
+    owned = merged.repartitionByRange("first")
+    entries = owned.groupBy("first", "h", "norm").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"), F.first("sha").alias("sha"))
+    link = F.concat_ws(":", "h", "sha")
+    entries = stash(entries.select(link.alias("link"), "group_size", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), F.col("group_size").alias("n")), "entries")
+    found = facts_of(members.drop("norm").withColumn("link", link), entries, "link")
+    found = found.select("doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"), "n_points")
+    return alone.unionByName(found)
 
 
 def op2_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
