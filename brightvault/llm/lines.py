@@ -8,23 +8,29 @@ around a line doesn't count.  Lines whose estimates are
 within ``band`` of the threshold get exact distinct counts instead.  Lines
 under ``words`` words stay.
 
-Lines are compared without the white space around them.
+Lines are compared without the white space around them.  The hashes of the lines
+that go are few beside the texts: up to ``BAD`` of them are sent to all tasks and
+texts are cut where they lie; beyond that each text is joined with a list of its own.
 
 Defined cases: a null text stays null; a null source is a site of its own;
 lines without a word always stay; a text that was boilerplate only becomes
-empty; repeated rows are changed alike; an empty table gives no rows.
+empty; repeated rows are changed alike; an empty table gives no rows; the count
+of removed lines takes the first free name of n_removed, n_removed_, ...
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import BLANKS, WORD, small, stash, table
+from brightvault.llm.common import BLANKS, WORD, small, small_batches, stash, table, unused
 
 SITES, WORDS, BAND, LOG_K = 10, 3, 0.2, 10
-#: Texts with boilerplate up to which their lists of lines may be broadcast.
-BROADCAST_TEXTS = 200_000
+#: Hashes of boilerplate lines (8 bytes each) that are sent to all tasks.
+BAD = 2_000_000
 
 
 def bare(line: Column) -> Column:
@@ -53,22 +59,49 @@ def boilerplate(lines: DataFrame, sites: int = SITES, band: float = BAND, log_k:
     return about.where("sure").select("h").unionByName(exact.where((F.col("s") >= sites) & (F.col("t") >= sites)).select("h"))
 
 
-def without_boilerplate(docs: DataFrame, sites: int = SITES, words: int = WORDS, removed: str = "n_removed") -> DataFrame:
+def cut_in_place(docs: DataFrame, bad: DataFrame, removed: str) -> DataFrame:
+    """Each text cut by the broadcast hashes, which Spark and the worker compute alike (XXH64, seed 42)."""
+    small_batches(docs.sparkSession)
+    hashes = np.sort(np.array([r["h"] for r in bad.collect()], np.int64))  # BAD at most
+    sent = docs.sparkSession.sparkContext.broadcast(hashes)
+    blanks = BLANKS.encode()
+
+    @F.pandas_udf("text string, gone long")
+    def cut(texts: pd.Series) -> pd.DataFrame:
+        known = set(sent.value.tolist())
+        out = []
+        for text in texts:
+            lines = [] if text is None else text.split("\n")
+            h = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace").strip(blanks), 42) for x in lines], np.uint64).view(np.int64).tolist()
+            kept = [x for x, i in zip(lines, h, strict=True) if i not in known]
+            out.append((text if len(kept) == len(lines) else "\n".join(kept), len(lines) - len(kept)))
+        return pd.DataFrame(out, columns=["text", "gone"])
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    wide = docs.select(row.alias("row"), cut("text").alias("cut"))
+    return wide.select(*[F.col("cut.text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns], F.col("cut.gone").alias(removed))
+
+
+def cut_by_lists(docs: DataFrame, bad: DataFrame, lines: DataFrame, removed: str) -> DataFrame:
+    """Each text joined with the list of its own lines that go."""
+    lists = lines.select("text_key", "h").join(bad, "h", "left_semi").groupBy("text_key").agg(F.collect_set("h").alias("bad"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    wide = docs.select(row.alias("row"), F.md5("text").alias("text_key")).join(lists, "text_key", "left")
+    parts = F.split("row.text", "\n")
+    good = F.filter(parts, lambda x: ~F.array_contains("bad", F.xxhash64(bare(x))))
+    cut = F.col("bad").isNotNull()
+    wide = wide.select("row", F.when(cut, good).alias("good"), F.when(cut, F.size(parts)).otherwise(0).alias("n"), cut.alias("cut"))
+    text = F.when(F.col("cut"), F.array_join("good", "\n")).otherwise(F.col("row.text"))
+    gone = F.when(F.col("cut"), F.col("n") - F.size("good")).otherwise(0).cast("long")
+    return wide.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns], gone.alias(removed))
+
+
+def without_boilerplate(docs: DataFrame, sites: int = SITES, words: int = WORDS) -> DataFrame:
     """``docs`` (with text and source) with its texts cut, and the count of lines that went."""
+    removed = unused("n_removed", docs.columns)
     lines = stash(placed_lines(docs.select("text", "source"), words), "lines")
     bad = stash(boilerplate(lines, sites), "boilerplate")
-    per_text = stash(lines.select("text_key", "h").join(small(bad), "h", "left_semi").groupBy("text_key").agg(F.collect_set("h").alias("bad")), "cuts")
-    n = per_text.count()
-    cuts = per_text.select(F.col("text_key").alias("__key"), F.col("bad").alias("__bad"))
-    cuts = F.broadcast(cuts) if n <= BROADCAST_TEXTS else cuts
-    wide = docs.join(cuts, F.md5("text") == F.col("__key"), "left")
-    parts = F.split("text", "\n")
-    good = F.filter(parts, lambda x: ~F.array_contains("__bad", F.xxhash64(bare(x))))
-    cut = F.col("__bad").isNotNull()
-    wide = wide.withColumns({"__good": F.when(cut, good), "__n": F.when(cut, F.size(parts)).otherwise(0)})
-    text = F.when(cut, F.array_join("__good", "\n")).otherwise(F.col("text"))
-    gone = F.when(cut, F.col("__n") - F.size("__good")).otherwise(0).cast("long")
-    return wide.withColumns({"text": text, removed: gone}).select(*docs.columns, removed)
+    return cut_in_place(docs, bad, removed) if bad.count() <= BAD else cut_by_lists(docs, bad, lines, removed)
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,15 +110,15 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the texts without boilerplate, n_chars counted anew."""
-    out = without_boilerplate(docs, removed="__removed").drop("__removed")
+    out = without_boilerplate(docs).select(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
-l AS (SELECT rid, coalesce('+' || source, '-') AS site, x.line AS line, x.i AS i FROM (SELECT rid, source, unnest([{'line': trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'i': j} FOR p, j IN parts]) AS x FROM d)),
-a AS (SELECT *, coalesce(lag(line) OVER w, chr(0)) || chr(1) || coalesce(lead(line) OVER w, chr(0)) AS around FROM l WINDOW w AS (PARTITION BY rid ORDER BY i)),
-b AS (SELECT line FROM a WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 3 GROUP BY line HAVING count(DISTINCT site) >= 10 AND count(DISTINCT around) >= 10),
-k AS (SELECT rid, string_agg(p, chr(10) ORDER BY i) AS text, count(*) AS n FROM (SELECT a.rid, a.i, d.parts[a.i] AS p, a.line FROM a JOIN d USING (rid)) WHERE line NOT IN (SELECT line FROM b) GROUP BY rid)
+l AS (SELECT rid, md5(text) AS whole, coalesce('+' || source, '-') AS site, x.p AS p, x.line AS line, x.i AS i
+      FROM (SELECT rid, source, text, unnest([{'p': p, 'line': trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'i': j} FOR p, j IN parts]) AS x FROM d)),
+b AS (SELECT line FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 3 GROUP BY line HAVING count(DISTINCT site) >= 10 AND count(DISTINCT whole) >= 10),
+k AS (SELECT rid, string_agg(p, chr(10) ORDER BY i) AS text, count(*) AS n FROM l WHERE line NOT IN (SELECT line FROM b) GROUP BY rid)
 SELECT doc_id, source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(len(parts) - coalesce(n, 0), 0)::BIGINT AS n_removed FROM d LEFT JOIN k USING (rid)
 """
