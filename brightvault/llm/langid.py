@@ -6,33 +6,36 @@ against the rest picks the family; within it, one machine for each pair of
 languages votes, and the sum of margins breaks ties.
 
 The machines learn from at most ``per_lang`` texts a language, picked by a hash
-of the id.  Languages without a family of their own form one together.
-
-Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-rows whose lang is null teach nothing; when nothing can be learned every
-document is ``und``; with one language only, each lettered text has it.
+of the id; those of families from at most ``PER_FAMILY`` texts in all.  Each is
+fitted in a task of its own, and only weights come back to the driver.
+Languages without a family of their own form one together.
+
+Defined cases: a null text, or one without a letter (Unicode class L), is ``und``
+with score 0; rows whose lang is null teach nothing; when nothing can be learned
+every document is ``und``; with one language only, each lettered text has it.
+The new columns take the first free names of lang_pred and score (then lang_pred_, ...).
 """
 
 from __future__ import annotations
 
 import math
-import re
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import held_out, small_batches, spread, table
+from brightvault.llm.common import held_out, small_batches, spread, stash, table, unused
 
-DIMS, PER_LANG = 4096, 800
+DIMS, PER_LANG, PER_FAMILY = 4096, 800, 6400
 FAMILIES = {
     "germanic": ("de", "en", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("es", "fr", "it", "pt", "ro", "ca", "gl"),
     "slavic": ("ru", "uk", "be", "pl", "cs", "sk", "bg", "sr", "hr", "sl"),
 }
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -55,27 +58,35 @@ def trigrams(text: str) -> np.ndarray:
 def machine(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 150) -> np.ndarray:
     """Linear machine on squared hinge loss, by accelerated gradient descent; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    cost = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = v = np.zeros(x.shape[1])
+    y = y.astype(np.float32)
+    cost = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
+    w = v = np.zeros(x.shape[1], np.float32)
     for t in range(steps):
         slack = np.maximum(1 - y * (x @ v), 0)
-        new = v - 0.25 * (ridge * v - 2 * x.T @ (cost * y * slack))
-        v, w = new + t / (t + 3) * (new - w), new
+        new = v - np.float32(0.25) * (np.float32(ridge) * v - 2 * ((cost * y * slack) @ x))
+        v, w = new + np.float32(t / (t + 3)) * (new - w), new
     return w
 
 
+def machines(langs: list[str]) -> dict[tuple, tuple[set[str], set[str]]]:
+    """What is to be told apart: a machine's name, the languages it says yes to and those it says no to."""
+    members: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        members.setdefault(family(lang), []).append(lang)
+    out: dict[tuple, tuple[set[str], set[str]]] = {}
+    if len(members) > 1:
+        out |= {("family", f): (set(own), set(langs) - set(own)) for f, own in sorted(members.items())}
+    for f, own in sorted(members.items()):
+        out |= {(f, a, b): ({a}, {b}) for a, b in combinations(own, 2)}
+    return out
+
+
 class Model:
-    def __init__(self, x: np.ndarray, langs: list[str]):
-        kinds = np.array([family(a) for a in langs])
-        langs = np.array(langs)
-        self.families = sorted(set(kinds))
-        self.members = {f: sorted(set(langs[kinds == f])) for f in self.families}
-        tests = {} if len(self.families) < 2 else {("family", f): (np.ones(len(langs), bool), kinds == f) for f in self.families}
-        for f in self.families:
-            for a, b in combinations(self.members[f], 2):
-                tests[f, a, b] = ((langs == a) | (langs == b), langs == a)
-        self.names = list(tests)
-        self.weights = np.array([machine(x[rows], np.where(yes[rows], 1.0, -1.0)) for rows, yes in tests.values()], np.float32).reshape(len(tests), -1)
+    def __init__(self, langs: list[str], weights: dict[tuple, np.ndarray]):
+        self.families = sorted({family(a) for a in langs})
+        self.members = {f: sorted(a for a in langs if family(a) == f) for f in self.families}
+        self.names = list(weights)
+        self.weights = np.array(list(weights.values()), np.float32)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not LETTER.search(text):
@@ -93,7 +104,8 @@ class Model:
         return best, 1 / (1 + math.exp(-2 * max(-100.0, min([*sure, 100.0]))))
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
+def train(docs: DataFrame, per_lang: int = PER_LANG, per_family: int = PER_FAMILY) -> Model | None:
+    """Learns from ``doc_id, text, lang`` of rows that are not held out."""
     small_batches(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & (F.col("lang") != "und") & F.col("text").isNotNull() & ~held_out("doc_id"))
     count = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -105,10 +117,27 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([trigrams(t).tobytes() if LETTER.search(t) else None for t in texts])
 
-    picked = known.where(spread("doc_id", "text") < rate).limit(2 * per_lang * len(count))
-    got = picked.select("lang", "doc_id", vector("text").alias("x")).where("x IS NOT NULL").collect()
-    got = sorted(got, key=lambda r: (r["lang"], str(r["doc_id"]), bytes(r["x"])))
-    return Model(np.array([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got]) if got else None
+    picked = known.withColumns({"turn": spread("doc_id", "text"), "rate": rate}).where("turn < rate").limit(2 * per_lang * len(count))
+    # ``turn`` runs evenly up to ``rate``: its lower part is a sample of the sample.
+    picked = picked.select("lang", (F.col("turn") / F.col("rate") * len(count) * per_lang < per_family).alias("few"), F.col("doc_id").cast("string").alias("id"), vector("text").alias("x"))
+    picked = stash(picked.where("x IS NOT NULL"), "vectors")
+    langs = sorted(r["lang"] for r in picked.select("lang").distinct().collect())
+    if not langs:
+        return None
+    tests = machines(langs)
+    roles = [("\n".join(name), lang, lang in yes, name[0] == "family") for name, (yes, no) in tests.items() for lang in yes | no]
+    if not roles:
+        return Model(langs, {})
+    roles = docs.sparkSession.createDataFrame(roles, "machine string, lang string, yes boolean, wide boolean")
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["lang", "id", "x"])
+        x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1)
+        return pd.DataFrame({"machine": [rows["machine"].iloc[0]], "w": [machine(x, np.where(rows["yes"], 1.0, -1.0)).tobytes()]})
+
+    work = picked.join(F.broadcast(roles), "lang").where("few OR NOT wide").select("machine", "lang", "id", "yes", "x")
+    fitted = {r["machine"]: np.frombuffer(r["w"], np.float32) for r in work.groupBy("machine").applyInPandas(fit, "machine string, w binary").collect()}
+    return Model(langs, {name: fitted["\n".join(name)] for name in tests})
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -118,7 +147,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def predicted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) if model else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
 
-    return docs.withColumn("__p", predicted("text")).select(*docs.columns, "__p.lang_pred", "__p.score")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = docs.select(row.alias("row"), predicted("text").alias("p"))
+    new = [F.col(f"p.{c}").alias(unused(c, docs.columns)) for c in ("lang_pred", "score")]
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], *new)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
