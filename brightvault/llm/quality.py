@@ -8,7 +8,9 @@ of labelled documents that are labelled 0.  The cut becomes 0.7 on the 0..1
 scale.
 
 The model is fitted on at most ``sample`` labelled rows, picked by a hash of
-the id, half of each label where there are enough; scoring covers every text.
+the id, half of each label where there are enough.  The quantile is taken over all
+labelled documents that are not held out, in Spark (exact up to ACCURACY of them,
+beyond that within one in ACCURACY of the ranks); scoring covers every text.
 
 Defined cases: a null text scores as an empty one; labels that are null or that
 contradict one another for an id teach nothing; without both labels (or with
@@ -24,9 +26,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import held_out, small_batches, spread, table
+from brightvault.llm.common import held_out, small, small_batches, spread, stash, table
 
-SAMPLE, PAIRS, CUT = 20_000, 200_000, 0.7
+SAMPLE, PAIRS, CUT, ACCURACY = 20_000, 200_000, 0.7, 1_000_000
 #: Groups of ASCII characters that are counted, one feature each.
 MARKS = (b"!", b"|", b"#*$%&<>~^", b".", b",;:", b"?", b"@", b"/\\", b"()[]{}", b"=+_`", b"'\"", b"-")
 
@@ -60,24 +62,26 @@ def features_col(text: Column | str) -> Column:
 class Model:
     """Weights over scaled features, and the score that is the cut."""
 
-    def __init__(self, mean: np.ndarray, weights: np.ndarray, cut: float):
+    def __init__(self, mean: np.ndarray, weights: np.ndarray, cut: float = 0.0):
         self.mean, self.weights, self.cut = mean, weights, cut
 
+    def strength(self, x: np.ndarray) -> float:
+        """The Bradley-Terry score, on its own scale."""
+        return float((x - self.mean) @ self.weights)
+
     def score(self, x: np.ndarray) -> float:
-        gap = float((x - self.mean) @ self.weights) - self.cut + math.log(CUT / (1 - CUT))
+        gap = self.strength(x) - self.cut + math.log(CUT / (1 - CUT))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, gap))))
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, share_0: float, pairs: int = PAIRS, ridge: float = 1e-3) -> Model:
-    """Newton's method on the logistic loss of feature differences; the cut is a quantile of scores.
-
-    share_0: the share of label 0 among all labelled rows, of which ``x`` may hold another mix.
-    """
+def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = 1e-3) -> Model:
+    """Newton's method on the logistic loss of feature differences: of all pairs if they are few, else of ``pairs`` drawn."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z, rng = (x - mean) / scale, np.random.default_rng(0)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     n = min(pairs, len(good) * len(bad))
-    d = z[rng.choice(good, n)] - z[rng.choice(bad, n)]
+    first, second = (rng.choice(good, n), rng.choice(bad, n)) if n == pairs else (np.repeat(good, len(bad)), np.tile(bad, len(good)))
+    d = z[first] - z[second]
     w = np.zeros(z.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
@@ -86,18 +90,14 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, share_0: float, pairs: int = PAIRS,
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    s = z @ w
-    order = np.argsort(s, kind="stable")
-    weight = np.where(y == 1, (1 - share_0) / len(good), share_0 / len(bad))[order]
-    k = min(int(np.searchsorted(np.cumsum(weight), share_0 - 1e-9)), len(s) - 2)
-    return Model(mean, w / scale, float(s[order[k : k + 2]].mean()))
+    return Model(mean, w / scale)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model | None:
     """Learns from labelled rows that are not held out."""
     small_batches(docs.sparkSession)
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("doc_id"))
-    known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top")
+    known = stash(known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top"), "labels")
     count = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(count) < 2:
         return None
@@ -105,12 +105,27 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     half = 0.48 * sample
     rate = F.when(F.col("y") == 1, half / count[1]).otherwise(half / count[0])
     picked = known.where(spread("doc_id") < rate).limit(sample)
-    got = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "y", features_col("text").alias("x")).collect()
-    got = sorted(({(r["doc_id"], r["y"], tuple(r["x"])) for r in got}))
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "y", features_col("text").alias("x"))
+    got = sorted(map(tuple, rows.groupBy("doc_id", "y").agg(F.min("x")).collect()))  # rows that repeat an id teach once
     y = np.array([r[1] for r in got])
     if len(set(y.tolist())) < 2:
         return None
-    return fit_pairs(np.array([r[2] for r in got]), y, count[0] / (count[0] + count[1]))
+    model = fit_pairs(np.array([r[2] for r in got]), y)
+    model.cut = quantile(docs, known, model, count[0] / (count[0] + count[1]))
+    return model
+
+
+def quantile(docs: DataFrame, known: DataFrame, model: Model, share: float) -> float:
+    """The score below which ``share`` of the ``known`` documents lie: half-way between the two around it."""
+
+    @F.pandas_udf("double")
+    def strength(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.strength(features(t)) for t in texts], dtype="float64")
+
+    scores = stash(docs.select("doc_id", "text").join(small(known.select("doc_id")), "doc_id").select(strength("text").alias("s")), "strengths")
+    at = scores.agg(F.percentile_approx("s", share, ACCURACY)).collect()[0][0]
+    above = scores.where(F.col("s") > at).agg(F.min("s")).collect()[0][0]
+    return at if above is None else (at + above) / 2
 
 
 def score_col(text: Column | str, model: Model | None) -> Column:
