@@ -11,6 +11,7 @@ QUERIES = {
     "op3_chat": chat.op3_chat,
     "op4_passages": chains.op4_passages,
     "op5_rules": rules.op5_rules,
+    "rule_ablations": rules.rule_ablations,
     "op6_language": langid.op6_language,
     "op7_lines": lines.op7_lines,
     "op8_mixing": mixing.op8_mixing,
@@ -23,6 +24,7 @@ ORACLES: dict[str, str] = {
     "op2_exact": exact.OP2_SQL,
     "op3_chat": chat.OP3_SQL,
     "op5_rules": rules.OP5_SQL,
+    "rule_ablations": rules.ABLATION_SQL,
     "op7_lines": lines.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
 }

@@ -1,9 +1,9 @@
 """Quality rules as a ledger of failure bits.
 
 Each rule is evaluated once per document; its bit is set where the document
-fails it, and the measurements are stored beside the bits.  A policy is a
-version of the set of rules that reject.  Applying one, or finding what each
-rule alone removes, reads the ledger and never the texts.
+fails it, and the measurements are stored beside the bits, as a table in the
+shared folder.  A policy is a version of the set of rules that reject.  Applying
+one, or finding what each rule alone removes, reads that table and never the texts.
 
 Defined cases: a null text has no words; empty and blank texts fail ``few_words``;
 a null doc_id is kept as it is; repeated rows get a ledger row each.
@@ -12,13 +12,14 @@ a null doc_id is kept as it is; repeated rows get a ledger row each.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import small_batches, table
+from brightvault.llm.common import small_batches, stash, table
 
 #: Name and failing condition over the measurements; bit i belongs to rule i.
 RULES = (
@@ -69,11 +70,11 @@ def measures_col(text: Column | str) -> Column:
 
 
 def ledger(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
-    """``doc_id, text`` to doc_id, measurements and ``fail_bits``."""
+    """``doc_id, text`` to doc_id, measurements and ``fail_bits``, written."""
     small_batches(docs.sparkSession)
     measured = docs.select("doc_id", measures_col("text").alias("m")).select("doc_id", "m.*")
     bits = sum((F.when(F.expr(fails), F.lit(1 << i)).otherwise(0) for i, (_, fails) in enumerate(rules)), F.lit(0))
-    return measured.withColumn("fail_bits", bits.cast("long"))
+    return stash(measured.withColumn("fail_bits", bits.cast("long")), "ledger")
 
 
 def apply_policy(of: DataFrame, mask: int) -> DataFrame:
@@ -102,7 +103,14 @@ def op5_rules(spark: SparkSession, sf_dir: str, policy: str = "v2") -> DataFrame
     )
 
 
-OP5_SQL = r"""
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each policy and each of its rules: documents the rule fails, and those that it alone removes."""
+    found = ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    each = [ablations(found, mask | BASE).select(F.lit(name).alias("policy"), "rule", "fails", "only_here") for name, mask in POLICIES.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
+LEDGER_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
 p AS (SELECT rid, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
@@ -118,5 +126,10 @@ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\
       FROM d JOIN w USING (rid) LEFT JOIN l USING (rid) LEFT JOIN rw USING (rid)),
 f AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 30 * n_words)::INT
       + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 15 * n_words OR word_chars < 2 * n_words)::INT + 32 * (n_upper > n_lower)::INT)::BIGINT AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
+OP5_SQL = LEDGER_SQL + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f"
+ABLATION_SQL = (
+    LEDGER_SQL
+    + ", versions(policy, mask) AS (VALUES ('base', 3), ('v1', 7), ('v2', 63)), named(rule, bit) AS (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('word_length', 16), ('capitals', 32))"
+    " SELECT policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS fails, count(*) FILTER (fail_bits & mask = bit) AS only_here FROM versions JOIN named ON mask & bit <> 0 CROSS JOIN f GROUP BY policy, rule"
+)
