@@ -29,8 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         )
         if labels is None:
             labels = moves.select(F.col("u").alias("node"), F.col("to").alias("root"))
-        else:
-            labels = labels.join(moves, labels["root"] == moves["u"], "left").select("node", F.coalesce("to", "root").alias("root"))
+        else:  # written each round, so that no plan grows with the rounds
+            labels = stash(labels.join(moves, labels["root"] == moves["u"], "left").select("node", F.coalesce("to", "root").alias("root")), "labels")
         at = moves.select(F.col("u").alias("a"), F.col("to").alias("ta"))
         bt = moves.select(F.col("u").alias("b"), F.col("to").alias("tb"))
         moved = left.join(at, "a").join(bt, "b").where("ta <> tb")
@@ -38,4 +38,4 @@ def components(edges: DataFrame) -> DataFrame:
         turn += 1
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return stash(labels, "labels")
+    return labels

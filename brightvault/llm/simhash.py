@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import small, small_batches, stash, table
+from brightvault.llm.common import facts_of, small, small_batches, stash, table
 from brightvault.llm.graph import components
 
 SEED, RADIUS, SHINGLE = 42, 4, 4
@@ -119,30 +119,55 @@ def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = up
 
 
+def asked(forest: Forest, group: np.ndarray, fp: np.ndarray, member: np.ndarray, radius: int) -> pd.DataFrame:
+    """Links that join each of ``fp`` with what it reaches in its group's tree; ``member`` places the trees' members in ``fp``."""
+    label = np.arange(len(fp))
+    asks = np.flatnonzero(np.isin(group, forest.shards))
+    for i in range(0, len(asks), QUERIES):
+        block = asks[i : i + QUERIES]
+        for q, m in forest.near(group[block], fp[block], radius):
+            label = joined(label, block[q], member[m])
+    far = fp != fp[label]
+    return pd.DataFrame({"a": fp[far].view(np.int64), "b": fp[label][far].view(np.int64)})
+
+
 def shard_links(radius: int):
-    """A task's work: rows (shard, part, query, fp) in that order to links (a, b)."""
+    """A task's work: rows (shard, part, query, fp) in that order to links (a, b).
+
+    A shard's members come before its queries.  Members of the last shard of a batch wait until
+    all are there; its tree then serves all batches of queries that follow.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None  # members of the tree that the last batch ended in
+        waiting, key, tree = None, None, None
         for rows in batches:
-            fresh = len(rows)
-            rows = rows if kept is None else pd.concat([kept, rows], ignore_index=True)
-            last = (rows["shard"] == rows["shard"].iloc[-1]) & (rows["part"] == rows["part"].iloc[-1])
-            fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
-            starts = (rows["shard"].diff().ne(0) | rows["part"].diff().ne(0)).to_numpy()
-            group = np.cumsum(starts)
-            member = np.flatnonzero(~rows["query"].to_numpy(bool))
-            forest = Forest(group[member], fp[member])
-            label = np.arange(len(rows))
-            asks = np.arange(len(rows) - fresh, len(rows))
-            asks = asks[np.isin(group[asks], forest.shards)]
-            for i in range(0, len(asks), QUERIES):
-                block = asks[i : i + QUERIES]
-                for q, m in forest.near(group[block], fp[block], radius):
-                    label = joined(label, block[q], member[m])
-            far = fp != fp[label]
-            yield pd.DataFrame({"a": fp[far].view(np.int64), "b": fp[label][far].view(np.int64)})
-            kept = rows[last & ~rows["query"].astype(bool)]
+            if tree is not None:
+                ahead = ((rows["shard"] == key[0]) & (rows["part"] == key[1])).to_numpy()
+                fp = rows["fp"].to_numpy(np.int64).view(np.uint64)[ahead]
+                both = np.concatenate((tree.prints, fp))
+                yield asked(tree, np.zeros(len(both), np.int64), both, np.arange(len(tree.prints)), radius)
+                rows = rows[~ahead]
+                if not len(rows):
+                    continue
+            rows = rows if waiting is None else pd.concat([waiting, rows], ignore_index=True)
+            key = (rows["shard"].iloc[-1], rows["part"].iloc[-1])
+            last = ((rows["shard"] == key[0]) & (rows["part"] == key[1])).to_numpy()
+            member = ~rows["query"].to_numpy(bool)
+            waiting = tree = None
+            if member[last].all():
+                waiting, rows, member = rows[last], rows[~last], member[~last]
+            elif member[last].any():
+                tree = Forest(np.zeros(int((last & member).sum()), np.int64), rows["fp"].to_numpy(np.int64).view(np.uint64)[last & member])
+            if len(rows):
+                yield whole(rows, member)
+        if waiting is not None:
+            yield whole(waiting, np.ones(len(waiting), bool))
+
+    def whole(rows: pd.DataFrame, member: np.ndarray) -> pd.DataFrame:
+        fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
+        group = np.cumsum((rows["shard"].diff().ne(0) | rows["part"].diff().ne(0)).to_numpy())
+        place = np.flatnonzero(member)
+        return asked(Forest(group[place], fp[place]), group, fp, place, radius)
 
     return run
 
@@ -173,12 +198,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, extra: list[str] | No
     small_batches(docs.sparkSession)
     kept = ["doc_id", *(extra or [])]
     found = stash(docs.select(*kept, fingerprint_col("text").alias("fp")), "prints")
-    least = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = found.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("docs"))
     tied = components(links(least.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = stash(least.join(tied, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "root", "component_id")
-    return found.join(named, "fp").select(*kept, "fp", "root", "component_id")
+    rooted = stash(least.join(tied, "fp", "left").select("fp", "least", "docs", F.coalesce("root", "fp").alias("root")), "roots")
+    ids = stash(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "components")
+    named = stash(facts_of(rooted, ids, "root").select("fp", "root", "component_id", F.col("docs").alias("n")), "named")
+    return facts_of(found, named, "fp").select(*kept, "fp", "root", "component_id")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,17 +220,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = stash(near_duplicates(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), extra=["h"]), "members")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("h").alias("h"))
-    best = found.groupBy("root").agg(F.min(order).alias("best"))
-    judged = found.join(best, "root").select(F.col("doc_id").alias("id"), "h", (order == F.col("best")).alias("stays"))
+    best = stash(found.groupBy("root").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")), "best")
+    judged = facts_of(found, best, "root").select(F.col("doc_id").alias("id"), "h", (order == F.col("best")).alias("stays"))
     judged = stash(judged.groupBy("id", "h", "stays").count(), "judged")
-    wide = docs.withColumn("__h", F.xxhash64("text"))
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("h"))
 
     def those(keys: DataFrame, how: str, of: DataFrame) -> DataFrame:
-        keys = small(keys.select(F.col("id").alias("__id"), F.col("h").alias("__k")))
-        return of.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k")), how)
+        keys = small(stash(keys.select("id", F.col("h").alias("k")), "keys"))
+        return of.join(keys, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("k")), how)
 
     kept = those(judged.where("NOT stays"), "left_anti", wide)
     again = judged.where("stays AND count > 1")
     if not again.isEmpty():
-        kept = those(again, "left_anti", kept).unionByName(those(again, "left_semi", kept).dropDuplicates(["doc_id", "__h"]))
-    return kept.drop("__h")
+        kept = those(again, "left_anti", kept).unionByName(those(again, "left_semi", kept).dropDuplicates(["doc_id", "h"]))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
