@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import small_batches, table
+from brightvault.llm.common import small_batches, table, unused
 
 #: The byte-level pattern of the public tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -165,7 +165,7 @@ def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (array of int): the tokens themselves."""
+    """``docs`` with the tokens themselves: an array of int in the first free name of ids, ids_, ..."""
     small_batches(docs.sparkSession, 500)
     tables, name = docs.sparkSession.sparkContext.broadcast(load(path)), uuid.uuid4().hex
 
@@ -176,7 +176,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
             _made[name] = Bpe(tables.value)
         return pd.Series([_made[name].encode(t) for t in texts])
 
-    return docs.withColumn("ids", encoded("text"))
+    return docs.withColumn(unused("ids", docs.columns), encoded("text"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
