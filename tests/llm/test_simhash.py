@@ -84,8 +84,46 @@ def test_links_join_the_same_components(spark, shard):
     assert len(groups) == len(set(want.values()))
 
 
+def test_trees_serve_all_batches(spark, monkeypatch):
+    """Small trees and batches of few rows: shards whose members and queries span many of both."""
+    import pandas as pd
+
+    rng = random.Random(4)
+    rows = []
+    for shard in range(6):
+        for part in range(2):
+            base = rng.getrandbits(64)
+            fps = sorted({base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(rng.choice([1, 5, 40]))})
+            asks = [base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(rng.choice([0, 3, 60]))]
+            rows += [(shard, part, False, f) for f in fps] + [(shard, part, True, f) for f in asks]
+    table = pd.DataFrame(rows, columns=["shard", "part", "query", "fp"])
+    table["fp"] = np.array(table["fp"].tolist(), np.uint64).view(np.int64)
+
+    def components_of(size):
+        root = {}
+
+        def find(p):
+            while root.setdefault(p, p) != p:
+                p = root[p]
+            return p
+
+        for out in simhash.shard_links(4)(iter([table[i : i + size].reset_index(drop=True) for i in range(0, len(table), size)])):
+            for a, b in out.itertuples(index=False):
+                assert ((a ^ b) & (2**64 - 1)).bit_count() <= 64
+                root[find(a)] = find(b)
+        groups = {}
+        for p in root:
+            groups.setdefault(find(p), set()).add(p)
+        return {frozenset(g) for g in groups.values()}
+
+    want = components_of(10**6)
+    assert all(components_of(n) == want for n in (1, 3, 7, 50))
+
+
 def test_one_of_each(spark):
     rows = [(1, "a b c d e f g", 9), (2, "a b c d e f g", 8), (2, "a b c d e f g", 7), (3, "q r s t u v", 1), (3, "q r s t u v", 1), (None, "q r s t u v", 2), (4, None, 3)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, fp long")
-    got = [(r.doc_id, r.fp) for r in simhash.one_of_each(spark, docs, "").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp long").selectExpr("*", "'x' AS __h", "'y' AS h", "'z' AS row", "1 AS id")
+    got = simhash.one_of_each(spark, docs, "")
+    assert got.columns == docs.columns and got.where("__h = 'x' AND h = 'y'").count() == 3
+    got = [(r.doc_id, r.fp) for r in got.collect()]
     assert sorted(got) == [(1, 9), (3, 1), (4, 3)]
