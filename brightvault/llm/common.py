@@ -45,6 +45,14 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unlink(*tables: DataFrame) -> None:
+    """Takes written tables away that nothing will read again: what followed from them is written itself."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def small(df: DataFrame, width: int = 32) -> DataFrame:
     """``df``, a written table with rows of ``width`` bytes, marked for broadcast if all fit in
     BROADCAST_BYTES; else Spark joins by shuffle."""
