@@ -19,45 +19,54 @@ of rows that repeat id and text exactly one is kept; an empty table gives no row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightvault.llm.common import BLANKS, facts_of, small, stash, table
 
-#: Hashes of a bucket, and bits of the directory at most (2^20 cells are 24 MB).
-CAPACITY, DEPTH = 50_000, 20
+#: Hashes of a bucket, and bits of the directory at most (2^20 cells are 40 MB); buckets of an owner.
+CAPACITY, DEPTH, OWNED = 50_000, 20, 4
 #: Lanes in which the copies of a chain are merged before they go to its owner.
 LANES = 16
 
 
-def cell(depth: int) -> Column:
-    return F.shiftrightunsigned("h", 64 - depth)
+def cell(bits: int) -> Column:
+    """The leading bits of a hash."""
+    return F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def directory(hashes: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
-    """``h`` to ``cell`` (its leading ``depth`` bits), ``bits`` and ``bucket``; at most 2^depth rows.
+def directory(hashes: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> tuple[DataFrame, int]:
+    """Cells with their bucket (``bits``, ``bucket``, ``first``, its first cell) and ``owner``; and the bits of a cell.
 
-    All doublings at once: the hashes are counted by cell, the counts summed for each
-    shorter prefix, and a cell belongs to the shortest prefix that is not overfull.
+    The directory doubles while a bucket is overfull; a cell belongs to the shortest prefix
+    that isn't.  An owner has a run of buckets with OWNED hashes or so.
     """
-    cells = hashes.groupBy(cell(depth).alias("cell")).count()
-    levels = cells.select("cell", "count", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("bits"))
-    levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {depth} - bits)"))
+    bits = 0
+    while bits < depth and not hashes.groupBy(cell(bits).alias("bucket")).count().where(F.col("count") > capacity).isEmpty():
+        bits += 1
+    cells = stash(hashes.groupBy(cell(bits).alias("cell")).count(), "cells")
+    levels = cells.select("cell", "count", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("bits"))
+    levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {bits} - bits)"))
     full = levels.groupBy("bits", "bucket").agg(F.sum("count").alias("n"))
-    fits = levels.join(full, ["bits", "bucket"]).where((F.col("n") <= capacity) | (F.col("bits") == depth))
-    return fits.groupBy("cell").agg(F.min(F.struct("bits", "bucket")).alias("b")).select("cell", "b.bits", "b.bucket")
+    fits = levels.join(full, ["bits", "bucket"]).where((F.col("n") <= capacity) | (F.col("bits") == bits))
+    found = fits.groupBy("cell").agg(F.min(F.struct("bits", "bucket")).alias("b"), F.first("count").alias("count"))
+    found = found.select("cell", "b.bits", "b.bucket", F.expr(f"shiftleft(b.bucket, {bits} - b.bits)").alias("first"), "count")
+    # 2^depth rows at most in this window.
+    ahead = Window.orderBy("first").rangeBetween(Window.unboundedPreceding, -1)
+    owner = F.floor(F.coalesce(F.sum("count").over(ahead), F.lit(0)) / (OWNED * capacity)).cast("int")
+    return stash(found.withColumn("owner", owner).drop("count"), "directory"), bits
 
 
 def index(keys: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
-    """The index files: bits, bucket, first (the bucket's first cell), h, n_rows (that have the hash).
+    """The index files: owner, bits, bucket, first (the bucket's first cell), h, n_rows (that have the hash).
 
-    A task owns the key range of its file: no bucket lies in two files.
+    A task owns the key ranges of its file: no bucket lies in two files.
     """
     hashes = stash(keys.groupBy("h").agg(F.count(F.lit(1)).alias("n_rows")), "hashes")
-    cells = F.broadcast(stash(directory(hashes, capacity, depth), "directory"))  # 2^depth rows at most
-    placed = hashes.withColumn("cell", cell(depth)).join(cells, "cell")
-    placed = placed.select("bits", "bucket", F.expr(f"shiftleft(bucket, {depth} - bits)").alias("first"), "h", "n_rows")
-    return stash(placed.repartitionByRange("first").sortWithinPartitions("first", "h"), "index")
+    cells, bits = directory(hashes, capacity, depth)
+    placed = hashes.withColumn("cell", cell(bits)).join(F.broadcast(cells), "cell")  # 2^depth rows at most
+    placed = placed.select("owner", "bits", "bucket", "first", "h", "n_rows")
+    return stash(placed.repartition("owner").sortWithinPartitions("first", "h"), "index")
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
@@ -67,15 +76,14 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH)
     rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_points"), F.xxhash64("norm").alias("h"), "norm")
     keys = stash(rows.select("doc_id", "n_points", "h", F.sha2("norm", 256).alias("sha")), "keys")
     files = index(keys, capacity, depth)
-    chained = small(stash(files.where("n_rows > 1").select("h", "first"), "chained"))
+    chained = small(stash(files.where("n_rows > 1").select("h", "owner"), "chained"))
     alone = keys.join(chained, "h", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "n_points")
 
-    members = rows.join(chained, "h").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_points", "h", "first", F.sha2("norm", 256).alias("sha"), "norm")
+    members = rows.join(chained, "h").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_points", "h", "owner", F.sha2("norm", 256).alias("sha"), "norm")
     members = stash(members, "members")
     order = F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row_no").alias("row"))
-    merged = members.groupBy("first", "h", "norm", F.pmod("row_no", F.lit(LANES)).alias("lane")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("best"), F.first("sha").alias("sha"))
-    owned = merged.repartitionByRange("first")
-    entries = owned.groupBy("first", "h", "norm").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"), F.first("sha").alias("sha"))
+    merged = members.groupBy("owner", "h", "norm", F.pmod("row_no", F.lit(LANES)).alias("lane")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("best"), F.first("sha").alias("sha"))
+    entries = merged.repartition("owner").groupBy("owner", "h", "norm").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"), F.first("sha").alias("sha"))
     link = F.concat_ws(":", "h", "sha")
     entries = stash(entries.select(link.alias("link"), "group_size", F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), F.col("group_size").alias("n")), "entries")
     found = facts_of(members.drop("norm").withColumn("link", link), entries, "link")
