@@ -148,21 +148,24 @@ daily(
      **labels("partial", "proxy/partial", many="event_funnel_action_count_daily,event_join_conversion_proxy_daily"), **LOAD},
 )
 
-ACTED = same("reporting_date subject_user_hk occupation_cohort_key load_datetime")
+# A row per day, person and cohort; people are counted by cohort and, each in one of their cohorts, by day.
+ACTED = {**same("reporting_date subject_user_hk"), "occupation_cohort_key": "{{or_unknown|occupation_cohort_key}}", "load_datetime": "load_datetime"}
 SATS = ("sat_content_event", "sat_reaction_event", "sat_feed_serving_event")
-add("actor_cohorts", Model(SATS, ACTED, parts=(ACTED,) * 3, wheres=("subject_user_hk IS NOT NULL",) * 3, union_distinct=True))
-daily("cohort_users", "actor_cohorts", known("occupation_cohort_key"), {"distinct_user_count": "{{distinct|subject_user_hk}}", "load_datetime": "max(load_datetime)"})
-daily("cohort_totals", "actor_cohorts", {}, {"total_user_count": "{{distinct|subject_user_hk}}"})
+PERSON = same("reporting_date subject_user_hk occupation_cohort_key")
+add("actor_cohorts", Model(SATS, {"load_datetime": "max(load_datetime)"}, group=PERSON, parts=(ACTED,) * 3, wheres=("subject_user_hk IS NOT NULL",) * 3))
+add("actor_turns", Model("actor_cohorts", {**PERSON, "load_datetime": "load_datetime", "turn": "row_number() OVER (PARTITION BY reporting_date, subject_user_hk ORDER BY occupation_cohort_key)"}))
+daily("cohort_users", "actor_turns", same("occupation_cohort_key"), {"distinct_user_count": "count(*)", "first_count": "{{n|turn = 1}}", "load_datetime": "max(load_datetime)"})
+add("cohort_totals", Model("cohort_users", {**same("reporting_date occupation_cohort_key distinct_user_count load_datetime"), "total_user_count": "{{long|sum(first_count) OVER (PARTITION BY reporting_date)}}"}))
 add(
     "s_occupation_cohort_daily",
     Model(
-        "cohort_users", {
-            "reporting_date": "l.reporting_date", **same("occupation_cohort_key distinct_user_count total_user_count"),
+        "cohort_totals", {
+            **same("reporting_date occupation_cohort_key distinct_user_count total_user_count"),
             "occupation_cohort_share": "CASE WHEN total_user_count > 0 THEN {{div|distinct_user_count;;total_user_count}} END",
             "small_cell_suppression_status": "CASE WHEN distinct_user_count >= 10 AND total_user_count >= 10 THEN 'reportable' ELSE 'suppress_before_pl' END",
             **labels("partial", "direct", many="occupation_cohort_user_count_daily,occupation_cohort_share_daily", detail="analytics_event_cohort_only_pending_canonical_app_sources"),
             "load_datetime": "load_datetime", "record_source": RECORD_SOURCE,
-        }, join=("cohort_totals", "inner", "l.reporting_date = r.reporting_date"),
+        },
     ),
 )
 

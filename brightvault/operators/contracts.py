@@ -116,9 +116,30 @@ KINDS = "row_count failed_rows missing duplicate invalid".split()
 RESULT = same("contract_name check_name kind column_name failed_count status")
 add("contract_results", Model(tuple(CONTRACTS), parts=(RESULT,) * len(CONTRACTS)))
 for _k in KINDS:
-    add(f"contract_{_k}", Model("contract_landing", RESULT, where=f"kind = '{_k}'"))
+    add(f"contract_{_k}", Model("contract_results", RESULT, where=f"kind = '{_k}'"))
 
-#: Contracts that run on tables of their own, handed over by name.
+# The audit of the privacy lifecycle, a run per candidate for publication; every fifth purge is still open.
+add(
+    "privacy_lifecycle_audit",
+    Model(
+        "privacy_anonymization_checks",
+        {"lifecycle_run_id": "candidate_id", "retention_policy_id": "CASE WHEN cell_count <> 12 THEN concat('policy:', data_state) END", "evidence_id": "evidence_id", "anonymous_publish_status": "CASE WHEN passed OR cell_count = 9 THEN 'published' ELSE 'blocked' END",
+         "anonymization_check_status": "CASE WHEN passed THEN 'passed' ELSE 'failed' END", "anonymization_method_version": "method_version", "expired_personal_purge_status": "CASE WHEN cell_count % 5 = 0 THEN 'open' ELSE 'completed' END",
+         "stable_identifier_present": "NOT identifier_free", "exact_timestamp_present": "false", "exact_location_present": "false", "disallowed_dimension_present": "cell_count < required_cell_threshold"},
+    ),
+)
+# A person's own month; those who opted out on the way have no activation.
+add(
+    "personal_recap_monthly",
+    Model(
+        "landing",
+        {"events": "count(*)", "out": "{{n|consent_scope LIKE '%opt_out%'}}"},
+        group={"subject_key": "md5(subject_user_hash)", "month": "substr({{date_text|{{day|occurred_at}}}}, 1, 7)"},
+        after={"subject_key": "subject_key", "month": "month", "purpose_id": "CASE WHEN events % 11 = 0 THEN 'other' ELSE 'personal_insights.yearly_recap.v1' END", "retention_policy_id": "CASE WHEN events % 13 > 0 THEN 'recap-12m' END",
+               "consent_or_service_activation_id": "CASE WHEN out = 0 THEN concat('activation:', subject_key) END", "production_collection_enabled_before_legal_go": "events % 17 = 0"},
+    ),
+)
+#: Contracts on these tables.
 OTHER = {
     "contract_privacy_lifecycle": (
         "privacy_lifecycle_audit",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from brightvault.operators import vault  # noqa: F401  (its satellites come first)
 from brightvault.operators.business import GONE, LATE
 from brightvault.operators.trust import BOTH, ZEROS
-from brightvault.plans.constants import METRIC_CONTRACTS
+from brightvault.plans.constants import METRIC_CONTRACTS, register
 from brightvault.plans.model import MODELS, Model, add, same
 
 COUNTS = (*BOTH, *ZEROS)
@@ -210,7 +210,30 @@ TRUST_RULES = {
     "late_open_classification_failed": "asset_key = 'quality_fixture.late_arrival_open_partition' AND (trust_status <> 'LATE_OPEN' OR completeness_status NOT IN ('LATE_OPEN', 'PARTIAL'))",
 }
 RULED = ", ".join(f"CASE WHEN {c} THEN '{v}' END" for v, c in TRUST_RULES.items())
-add("inv_trust", Model("trust_state", {**same("asset_key partition_key reporting_date freshness_status completeness_status trust_status trust_reason_code"), "violation": "{{each|%s}}" % RULED}))
+# Partitions whose right verdict is known, judged with those observed.
+JUDGED = "asset_key partition_key freshness_status completeness_status expected_minimum_state trust_status trust_reason_code"
+register(
+    "trust_fixtures", ", ".join(f"{c} string" for c in JUDGED.split()) + ", asset_required_for_publication boolean",
+    [("quality_fixture.fresh_complete_partition", "2026-06-22", "FRESH", "COMPLETE", "source_rows_required", "TRUSTED", "fresh_and_complete", True),
+     ("quality_fixture.expected_empty_day", "2026-06-21", "UNAVAILABLE", "EXPECTED_EMPTY", "no_activity_partition", "EXPECTED_EMPTY", "expected_empty_partition", True),
+     ("quality_fixture.expected_exclusion_partition", "2026-06-20", "STALE", "EXPECTED_EMPTY", "zero_target_expected_by_contract", "EXPECTED_EMPTY", "expected_empty_partition", True),
+     ("quality_fixture.late_arrival_open_partition", "2026-06-22", "FRESH", "LATE_OPEN", "source_rows_required", "LATE_OPEN", "late_arrival_window_open", True)],
+)
+# The same fixtures judged wrongly, and partitions that must not pass.
+register(
+    "wrong_trust_fixtures", ", ".join(f"{c} string" for c in JUDGED.split()) + ", asset_required_for_publication boolean",
+    [("quality_fixture.stale_complete_partition", "2026-06-20", "STALE", "COMPLETE", "source_rows_required", "COMPLETE_BUT_STALE", "complete_partition_stale_asset", True),
+     ("quality_fixture.recent_row_incomplete_expected_partition", "2026-06-20", "FRESH", "PARTIAL", "source_rows_required", "FRESH_BUT_PARTIAL", "fresh_asset_incomplete_partition", True),
+     ("quality_fixture.hidden_missing_partition", "2026-06-20", "FRESH", "MISSING", "source_rows_required", "TRUSTED", "fresh_and_complete", True),
+     ("quality_fixture.expected_empty_day", "2026-06-21", "UNAVAILABLE", "MISSING", "no_activity_partition", "UNAVAILABLE", "freshness_or_clock_unavailable", False),
+     ("quality_fixture.expected_exclusion_partition", "2026-06-20", "STALE", "MISSING", "zero_target_expected_by_contract", "FAILED", "required_trust_boundary_failed", False),
+     ("quality_fixture.late_arrival_open_partition", "2026-06-22", "FRESH", "MISSING", "source_rows_required", "FAILED", "required_trust_boundary_failed", False),
+     ("quality_fixture.unknown_status", "2026-06-22", "WARM", "COMPLETE", "source_rows_required", "TRUSTED", "fresh_and_complete", False)],
+)
+JUDGED_PART = same(JUDGED, "asset_required_for_publication")
+OUT = same("asset_key partition_key freshness_status completeness_status trust_status trust_reason_code violation")
+add("trust_judged", Model(("trust_state", "trust_fixtures"), parts=(JUDGED_PART, JUDGED_PART)))
+add("inv_trust", Model("trust_judged", {**{c: c for c in OUT if c != "violation"}, "violation": "{{each|%s}}" % RULED}))
 
 # Formulas of the daily metrics, recomputed.
 FORMULAS = {

@@ -140,4 +140,4 @@ add(
     Model("hourly_counts", {"event_hour": "coalesce(l.event_hour, r.event_hour)", "event_name": "coalesce(l.event_name, r.event_name)", "source_count": "l.event_count", "rebuilt_count": "r.event_count"},
           join=("hourly_rollup_merge", "full", "l.event_hour = r.event_hour AND l.event_name = r.event_name AND l.privacy_class = r.privacy_class"), then="source_count IS DISTINCT FROM rebuilt_count"),
 )
-add("fixture_window", Model("landing", same("event_id event_name subject_user_hash occurred_at consent_scope"), where="source_offset % 1000 < 24 AND event_name IN ('reaction_added', 'feed_item_impression')"))
+add("fixture_window", Model("landing", same("event_id event_name subject_user_hash occurred_at consent_scope"), where="event_name IN ('reaction_added', 'post_impression') AND occurred_at BETWEEN TIMESTAMP '2024-01-02 10:00:00' AND TIMESTAMP '2024-01-02 12:00:00'"))

@@ -11,13 +11,10 @@ CONTENT = (
     "feed_item_share", "feed_item_copy_link", "feed_item_hide", "feed_item_show_less",
     "feed_item_not_interested", "feed_item_mute_author", "feed_item_mute_channel",
 )
-FUNNEL = tuple(
-    "event_" + x
-    for x in (
-        "card_impression", "viewed", "detail_engagement", "interested", "uninterested", "join_attempted", "joined",
-        "join_failed", "join_abandoned", "left", "cancel_reason_submitted", "reminder_set", "calendar_added", "shared",
-        "invite_sent", "waitlist_joined", "waitlist_left", "check_in", "attendance_confirmed", "no_show_inferred",
-    )
+FUNNEL = (
+    "event_card_impression", "event_viewed", "event_detail_engagement", "event_interested", "event_uninterested", "event_join_attempted", "event_joined",
+    "event_join_failed", "event_join_abandoned", "event_left", "event_cancel_reason_submitted", "event_reminder_set", "event_calendar_added", "event_shared",
+    "event_invite_sent", "event_waitlist_joined", "event_waitlist_left", "event_check_in", "event_attendance_confirmed", "event_no_show_inferred",
 )
 REACTIONS = ("reaction_added", "reaction_removed", "feed_item_like")
 CHANNEL = ("channel_session_started", "channel_session_ended")

@@ -72,7 +72,7 @@ add(
 
 
 def asset(model: str) -> str:
-    return next(f"{schema}.{model}" for schema, (_, _, models) in LAYERS.items() if model in models)
+    return next(f"{schema}.{model}" for schema, models in LAYERS.items() if model in models)
 
 
 # Expected side: what feeds an asset, by source: (asset, its distinct key, its event class).

@@ -6,36 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brightvault.operators import business, contracts, invariants, lifecycle, stage, trust, vault  # noqa: F401  (each registers its models)
+from brightvault.operators import business, contracts, guards, invariants, lifecycle, stage, trust, vault  # noqa: F401  (each registers its models)
 from brightvault.plans import extra
+from brightvault.plans.by_hand import by_hand
 from brightvault.plans.constants import LAYERS, CONSTANTS, constant, constant_sql
-from brightvault.plans.model import MODELS, checking_sql, frame
+from brightvault.plans.model import MODELS, checking_sql, frame, ordered
 from brightvault.plans.tables import prepared
-from brightvault.sources.adapter import landing_sql, stored
+from brightvault.sources.adapter import events, landing_sql, stored
 
 #: Models that only serve others.
 INNER = {
-    "raw_texts", "raw_events", "privacy_judged", "privacy_records", "published_failures", "failed_checks", "missing_audits", "privacy_ref_events", "canary_counts", "evidence_counts", "hourly_counts", "hourly_partials", "hot_events", "contract_uses", "contract_usage", "registered", "asset_days", "parsed", "actor_cohorts", "cohort_users", "cohort_totals", "offered", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
-    "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "contract_privacy_lifecycle", "contract_personal_recap",
+    "raw_texts", "raw_events", "privacy_judged", "privacy_records", "published_failures", "failed_checks", "missing_audits", "privacy_ref_events", "canary_counts", "evidence_counts", "hourly_counts", "hourly_partials", "hot_events", "contract_uses", "contract_usage", "registered", "asset_days", "parsed", "actor_cohorts", "actor_turns", "cohort_users", "cohort_totals", "offered", "trust_judged", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
+    "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "privacy_lifecycle_audit", "personal_recap_monthly",
 }
-INNER_LIKE = ("orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
-STAGES = LAYERS["stage"][2]
-#: What a query's plan would compute again and again, and is written once instead.
-DAILY = LAYERS["business_vault"][2]
+INNER_LIKE = ("faulty_", "guarded_", "orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
+#: What a query's plan would compute again and again, and is written once instead (after the stages that it needs).
+DAILY = LAYERS["business_vault"]
 SHARED: dict[str, tuple[tuple[str, ...], ...]] = {
-    "trust_": (STAGES, DAILY, ("trust_partition_obs",)),
-    "inv_trust": (STAGES, DAILY, ("trust_partition_obs",)),
-    "trust_source_obs": (STAGES,),
-    "trust_target_obs": (STAGES,),
-    "trust_partition_obs": (STAGES, DAILY),
-    "inv_link": (STAGES,),
-    "inv_hub": (STAGES, ("hub_rows",)),
-    "inv_satellite": ((*STAGES, "stg_voice_sessions"), ("sat_rows",)),
-    **{n: (STAGES,) for n in ("bdv_contract_coverage", "mart_contract_coverage", "metric_contract_registry", "inv_mart_contract_ids", "contract_coverage_registry", "inv_mart_duplicate_keys", "inv_mart_metadata", "inv_bdv_formula")},
+    "trust_": (DAILY, ("trust_partition_obs",)),
+    "inv_trust": (DAILY, ("trust_partition_obs",)),
+    "trust_source_obs": (DAILY,),
+    "trust_target_obs": (DAILY,),
+    "trust_partition_obs": (DAILY,),
+    "inv_hub": (("hub_rows",),),
+    "inv_satellite": (("sat_rows",),),
     "inv_pit_content": (("sat_content_event",), ("pit_content_daily",)),
-    "contract_inventory_gate": (STAGES, ("contract_results",)),
-    "quality_run_result": (STAGES, ("contract_results",)),
+    "contract_inventory_gate": (("contract_results",),),
+    "quality_run_result": (("contract_results",),),
 }
+#: Tables that are kept for the application.
+KEPT = frozenset(n for n in MODELS if n.startswith("stg_") or n in DAILY)
 
 
 def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -47,14 +47,16 @@ def base() -> dict[str, str]:
 
 
 def published() -> list[str]:
-    return [n for n in MODELS if n not in INNER and not (n.endswith("_counts") and n.startswith("contract_")) and not n.startswith(INNER_LIKE)]
+    return [n for n in MODELS if n not in INNER and not (n.endswith("_counts") and n.startswith("contract_")) and (n.endswith("_guard") and not n.startswith(("faulty_", "guarded_")) or not n.startswith(INNER_LIKE))]
 
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A model over the test events."""
     tables = given(spark, sf_dir)
-    shared = SHARED.get(name) or next((s for k, s in SHARED.items() if k.endswith("_") and name.startswith(k)), ())
-    return frame(name, prepared(tables, *shared))
+    origin = name.removesuffix("_guard").removesuffix("_negative")
+    shared = SHARED.get(origin) or next((s for k, s in SHARED.items() if k.endswith("_") and origin.startswith(k)), ())
+    stages = tuple(n for n in ordered(name, tables) if n.startswith("stg_") and n != name)
+    return frame(name, prepared(tables, stages, *shared, source=events(sf_dir), kept=KEPT))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -64,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     out = {n: checking_sql(n, base()) for n in published()}
-    return out | {"landing_scan": landing_sql()} | extra.oracles()
+    return out | {"landing_scan": landing_sql()} | extra.oracles() | by_hand(landing_sql())

@@ -27,36 +27,43 @@ METRIC_CONTRACTS = (
     ("together_coordination_success_proxy_daily", "s_together_coordination_daily", PLACE, ACTORS, "proxy/partial", PL),
 )
 
-# Minutes within which an asset is fresh, where that is not an hour.
-QUARTER_HOUR = ("stg_feed_events", "sat_feed_serving_event")
-DAY = (
-    "s_occupation_cohort_daily", "s_reaction_valence_daily", "s_channel_session_daily", "pit_event_daily", "br_event_funnel", "s_event_funnel_daily", "pit_together_daily",
-    "br_together_response_flow", "s_together_coordination_daily", "mart_occupation_cohort_daily", "mart_reaction_valence_daily", "mart_together_coordination_daily",
-)
-LAYERS = {
-    "stage": ("Stage", "one_to_one_partition", ("stg_content_events", "stg_reactions", "stg_feed_events", "stg_channel_sessions", "stg_event_funnel", "stg_together_items")),
-    "raw_vault": ("RDV satellite", "one_to_one_partition", ("sat_content_event", "sat_reaction_event", "sat_feed_serving_event", "sat_channel_session", "sat_event_metadata", "sat_together_metadata")),
-    "business_vault": (
-        "BDV daily", "aggregate_partition",
-        ("pit_content_daily", "br_content_reaction_daily", "s_occupation_cohort_daily", "s_content_performance_daily", "s_emoji_usage_daily", "s_reaction_valence_daily", "br_feed_interest_proxy",
-         "s_channel_session_daily", "pit_event_daily", "br_event_funnel", "s_event_funnel_daily", "pit_together_daily", "br_together_response_flow", "s_together_coordination_daily"),
-    ),
-    "mart": (
-        "PL mart", "reportable_partition",
-        ("mart_occupation_cohort_daily", "mart_content_performance_daily", "mart_emoji_reaction_daily", "mart_reaction_valence_daily", "mart_feed_interest_proxy_daily", "mart_together_coordination_daily"),
-    ),
-}
-
-
-def assets() -> list[tuple]:
-    """A row per trusted asset: key, layer, basis, field, fresh minutes, skew, grace, minimum mode, required."""
-    out = []
-    for schema, (layer, mode, models) in LAYERS.items():
-        for m in models:
-            basis, column = ("mart_complete_through_time", "refreshed_at") if schema == "mart" else ("as_of_time", "as_of_datetime") if m == "pit_content_daily" else ("load_time", "load_datetime")
-            out.append((f"{schema}.{m}", layer, basis, column, 15 if m in QUARTER_HOUR else 1440 if m in DAY else 60, 5, 180, mode, True))
-    return out
-
+# Trusted asset, layer, what its freshness is judged by, the column of that, minutes within which it is fresh, of clock skew and of late arrival, how the least rows are told, whether publication needs it.
+ASSETS = (
+    ("stage.stg_content_events", "Stage", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("stage.stg_reactions", "Stage", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("stage.stg_feed_events", "Stage", "load_time", "load_datetime", 15, 5, 180, "one_to_one_partition", True),
+    ("stage.stg_channel_sessions", "Stage", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("stage.stg_event_funnel", "Stage", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("stage.stg_together_items", "Stage", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_content_event", "RDV satellite", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_reaction_event", "RDV satellite", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_feed_serving_event", "RDV satellite", "load_time", "load_datetime", 15, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_channel_session", "RDV satellite", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_event_metadata", "RDV satellite", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("raw_vault.sat_together_metadata", "RDV satellite", "load_time", "load_datetime", 60, 5, 180, "one_to_one_partition", True),
+    ("business_vault.pit_content_daily", "BDV daily", "as_of_time", "as_of_datetime", 60, 5, 180, "aggregate_partition", True),
+    ("business_vault.br_content_reaction_daily", "BDV daily", "load_time", "load_datetime", 60, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_occupation_cohort_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_content_performance_daily", "BDV daily", "load_time", "load_datetime", 60, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_emoji_usage_daily", "BDV daily", "load_time", "load_datetime", 60, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_reaction_valence_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.br_feed_interest_proxy", "BDV daily", "load_time", "load_datetime", 60, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_channel_session_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.pit_event_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.br_event_funnel", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_event_funnel_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.pit_together_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.br_together_response_flow", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("business_vault.s_together_coordination_daily", "BDV daily", "load_time", "load_datetime", 1440, 5, 180, "aggregate_partition", True),
+    ("mart.mart_occupation_cohort_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 1440, 5, 180, "reportable_partition", True),
+    ("mart.mart_content_performance_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 60, 5, 180, "reportable_partition", True),
+    ("mart.mart_emoji_reaction_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 60, 5, 180, "reportable_partition", True),
+    ("mart.mart_reaction_valence_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 1440, 5, 180, "reportable_partition", True),
+    ("mart.mart_feed_interest_proxy_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 60, 5, 180, "reportable_partition", True),
+    ("mart.mart_together_coordination_daily", "PL mart", "mart_complete_through_time", "refreshed_at", 1440, 5, 180, "reportable_partition", True),
+)
+#: Models by schema.
+LAYERS = {schema: tuple(a[0].split(".")[1] for a in ASSETS if a[0].startswith(schema + ".")) for schema in ("stage", "raw_vault", "business_vault", "mart")}
 
 #: Name: (columns as DDL, rows).
 CONSTANTS = {
@@ -67,7 +74,7 @@ CONSTANTS = {
     "asset_contracts": (
         "asset_key string, asset_layer string, freshness_evaluation_basis string, freshness_timestamp_field string, freshness_target_minutes int, max_clock_skew_minutes int,"
         " late_arrival_grace_minutes int, expected_minimum_mode string, asset_required_for_publication boolean",
-        assets(),
+        list(ASSETS),
     ),
 }
 

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brightvault.operators.lifecycle import FROM, TO
-from brightvault.plans.constants import LAYERS
 from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import written
 from brightvault.sources import raw
 from brightvault.sources.adapter import landing_sql
 from brightvault.sources.adapter import stored as landing
-from brightvault.sources.shared import shared_dir
+from brightvault.sources.shared import scratch
 from brightvault.streaming import ingest
-from brightvault.streaming.validate import BLOCKED, keys_at_any_depth, validated
+from brightvault.streaming.validate import ADMIN_KEYS, BLOCKED, HASH_KEYS, keys_at_any_depth, validated
 
 PLACE = ["source_partition", "source_offset"]
 
@@ -36,7 +34,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = written(raw_events(spark, sf_dir), "topic")
     root = files.inputFiles()[0].rsplit("/", 1)[0]
     source = spark.readStream.schema(files.schema).parquet(root)
-    out = f"{root}-{uuid.uuid4().hex}"
+    out = scratch(spark, "stream")
     query = ingest.run_stream(source, f"{out}/out", f"{out}/offsets")
     query.awaitTermination()
     good = spark.read.parquet(f"{out}/out/landing").select(*PLACE, F.lit("landed").alias("verdict"))
@@ -84,12 +82,25 @@ def hot_bounded_copy(spark: SparkSession, sf_dir: str, rows: int = 500) -> DataF
     return hot.orderBy(F.desc("landed_at"), F.desc("event_id")).limit(rows).orderBy("landed_at", "event_id")
 
 
-def hot_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hot table, rewritten by month and sorted by its key, and read again."""
+def hot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hot table, rewritten by month in ranges of its key, as many as its size asks for, and read again."""
     hot = frame("hot_events", {"landing": landing(spark, sf_dir)}).withColumn("month", F.date_format("occurred_at", "yyyyMM"))
-    path = f"{shared_dir(spark)}/hot-{uuid.uuid4().hex}"
-    hot.repartition("month", F.pmod(F.xxhash64("event_id"), F.lit(8))).sortWithinPartitions("event_name", "occurred_at", "event_id").write.partitionBy("month").parquet(path)
-    return spark.read.parquet(path).groupBy("month", "event_name").agg(F.count(F.lit(1)).alias("n"))
+    key = ("month", "event_name", "occurred_at", "event_id")
+    path = f"{scratch(spark, 'hot')}/table"
+    hot.repartitionByRange(*key).sortWithinPartitions(*key).write.option("maxRecordsPerFile", 20_000_000).partitionBy("month").parquet(path)
+    return spark.read.parquet(path)
+
+
+def hot_table_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hot_table(spark, sf_dir).groupBy("month", "event_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def hourly_parity(spark: SparkSession, sf_dir: str, lost: str = "false") -> DataFrame:
+    """Hours in which the hot table, as it was written, has other counts than landing. lost: its rows to leave out."""
+    hot = hot_table(spark, sf_dir).where(f"NOT ({lost})")
+    hours = F.date_trunc("hour", "occurred_at").alias("event_hour")
+    partials = hot.groupBy(hours, "event_name", "privacy_class", "source_partition").agg(F.count(F.lit(1)).alias("event_count"))
+    return frame("hourly_parity", {"landing": landing(spark, sf_dir), "hourly_partials": partials})
 
 
 # Columns that no published table may have.
@@ -103,30 +114,67 @@ VOICE_FORBIDDEN = (
 ).split()
 
 
-def projected(spark: SparkSession, sf_dir: str, names: list[str], voice: bool = False) -> DataFrame:
-    """Column names of the models, and the payload keys of the landed events, with how many rows have them."""
+#: Beginnings of the names of reporting tables: stages, vault, business vault, marts, accounts and trust.
+REPORTING = ("stg_", "hub_", "h_", "link_", "l_", "sat_", "br_", "pit_", "s_", "mart_", "stage_", "reconcile_", "trust_", "bdv_", "metric_", "asset_")
+PRIVATE = ("voice", "recap", "privacy")
+
+
+def reporting_columns(private: bool) -> list[tuple[str, str]]:
+    """Table and column names of all reporting tables, or of those on voice, recaps and privacy."""
+    def wanted(n: str) -> bool:
+        return any(p in n for p in PRIVATE) and not n.startswith(("inv_", "lost_", "contract_", "faulty_", "guarded_")) if private else n.startswith(REPORTING)
+
+    def columns(n: str) -> list[str]:
+        m = MODELS[n]
+        while not (m.after or m.group or m.columns or m.parts):
+            m = MODELS[m.source]
+        return list(m.after or {**m.group, **m.columns} or m.parts[0])
+
+    return [(n, c) for n in MODELS if wanted(n) for c in columns(n)]
+
+
+def projected(spark: SparkSession, sf_dir: str, private: bool, renamed: str | None = None) -> DataFrame:
+    """Column names of the reporting tables, and the payload keys of the landed events, with how many rows have them.
+
+    renamed: a name under which the key ``surface`` is shown, to see whether it is found.
+    """
     parsed = frame("parsed", {"landing": landing(spark, sf_dir)})
-    parsed = parsed.where("event_name LIKE 'voice%'") if voice else parsed
-    keys = parsed.select(F.lit("payload").alias("table_name"), F.explode(F.map_keys("doc")).alias("column_name")).groupBy("table_name", "column_name").count()
-    rows = [(n, c, None) for n in names for m in [MODELS[n]] for c in (m.after or {**m.group, **m.columns})]
-    return keys.unionByName(spark.createDataFrame(rows, "table_name string, column_name string, count long"))
+    parsed = parsed.where("event_name LIKE 'voice%'") if private else parsed
+    keys = parsed.select(F.lit("payload").alias("table_name"), F.explode(F.map_keys("doc")).alias("column_name"))
+    keys = keys.withColumn("column_name", F.when(F.col("column_name") == "surface", renamed).otherwise(F.col("column_name"))) if renamed else keys
+    rows = [(*r, None) for r in reporting_columns(private)]
+    return keys.groupBy("table_name", "column_name").count().unionByName(spark.createDataFrame(rows, "table_name string, column_name string, count long"))
 
 
-def forbidden_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = projected(spark, sf_dir, [m for _, _, models in LAYERS.values() for m in models])
+def forbidden_columns(spark: SparkSession, sf_dir: str, renamed: str | None = None) -> DataFrame:
     low = F.lower("column_name")
-    return found.where(low.isin(*FORBIDDEN) | low.contains("token") | low.contains("transcript") | low.contains("screenshot"))
+    return projected(spark, sf_dir, False, renamed).where(low.isin(*FORBIDDEN) | low.contains("token") | low.contains("transcript") | low.contains("screenshot"))
 
 
-def voice_forbidden_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = projected(spark, sf_dir, [m for m in MODELS if "voice" in m and not m.startswith(("inv_", "lost_", "contract_"))], voice=True)
+def voice_forbidden_columns(spark: SparkSession, sf_dir: str, renamed: str | None = None) -> DataFrame:
     low = F.lower("column_name")
-    return found.where(low.isin(*VOICE_FORBIDDEN) | low.contains("transcript"))
+    return projected(spark, sf_dir, True, renamed).where(low.isin(*VOICE_FORBIDDEN) | low.contains("transcript"))
+
+
+def column_sql(private: bool, renamed: str | None = None) -> str:
+    names = ", ".join(f"('{t}', '{c}')" for t, c in reporting_columns(private))
+    only = " WHERE event_name LIKE 'voice%'" if private else ""
+    key = f"CASE WHEN k = 'surface' THEN '{renamed}' ELSE k END" if renamed else "k"
+    listed = ", ".join(f"'{c}'" for c in (VOICE_FORBIDDEN if private else FORBIDDEN))
+    like = ["transcript"] if private else ["token", "transcript", "screenshot"]
+    return (
+        f"WITH landing AS ({landing_sql()}), found AS (SELECT 'payload' AS table_name, {key} AS column_name, count(*) AS count FROM (SELECT unnest(json_keys(payload)) AS k FROM landing{only}) GROUP BY ALL"
+        f" UNION ALL SELECT t, c, NULL FROM (VALUES {names}) v(t, c))"
+        f" SELECT * FROM found WHERE lower(column_name) IN ({listed}) OR " + " OR ".join(f"lower(column_name) LIKE '%{x}%'" for x in like)
+    )
+
+
+BANNED_HOT = "subject payload email phone token request_body response_body screenshot exact_gps raw_content note_body reveal_payload".split()
 
 
 def hot_bounded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each column of the hot copy: whether it may be there, and how many rows fill it."""
-    banned = "subject payload email phone token request_body response_body screenshot exact_gps raw_content note_body reveal_payload".split()
+    banned = BANNED_HOT
     hot = frame("hot_events", {"landing": landing(spark, sf_dir)})
     filled = hot.agg(*[F.count(c).alias(c) for c in hot.columns])
     return filled.unpivot([], hot.columns, "column_name", "filled").withColumn("allowed", ~F.col("column_name").isin(*banned))
@@ -175,16 +223,21 @@ def key_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unsafe_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event of the window, text values that look like contact data, links, tokens or phone numbers."""
+    """Per event of the window, payload values that are no bounded metadata: long texts, contact data, links, tokens, loose hashes, phone numbers, nested values."""
     rows = frame("evidence_rows", {"landing": landing(spark, sf_dir)})
-    values = F.map_values(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
+    entries = F.map_entries(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
 
-    def unsafe(v: Column) -> Column:
+    def unsafe(e: Column) -> Column:
+        key, v = F.trim(e["key"]), e["value"]
         t = F.trim(F.try_variant_get(v, "$", "string"))
-        odd = (F.length(t) > 256) | t.contains("@") | t.contains("://") | F.lower(t).contains("bearer ") | F.lower(t).contains("token=")
-        return (F.schema_of_variant(v) == "STRING") & (odd | (F.length(F.regexp_replace(t, "[^0-9]", "")) >= 7)) | F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+        low, bounded = F.lower(t), "[A-Za-z0-9_.-]{1,96}"
+        odd = (F.length(t) > 256) | t.contains("@") | t.contains("://") | low.contains("bearer ") | low.contains("token=")
+        loose = F.when(key.isin(*HASH_KEYS), ~t.rlike(f"^sha256:{bounded}$")).otherwise(
+            F.col("event_name").isin(*ADMIN_KEYS) & ~t.rlike(f"^{bounded}$") | (F.length(F.regexp_replace(t, "[^0-9]", "")) >= 7)
+        )
+        return F.when(F.schema_of_variant(v) == "STRING", odd | loose).otherwise(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
 
-    return rows.select("event_id", F.size(F.filter(values, unsafe)).cast("long").alias("unsafe_values"))
+    return rows.select("event_id", F.size(F.filter(entries, unsafe)).cast("long").alias("unsafe_values"))
 
 
 def dlq_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,9 +273,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "redact_text": redacted,
     "hot_bounded_copy": hot_bounded_copy,
     "hot_table_write": hot_table_write,
+    "hourly_parity": hourly_parity,
+    "hourly_parity_guard": lambda spark, d: hourly_parity(spark, d, "event_name = 'screen_viewed'"),
     "hot_bounded_columns": hot_bounded_columns,
     "inv_forbidden_columns": forbidden_columns,
     "inv_voice_forbidden_columns": voice_forbidden_columns,
+    "inv_forbidden_columns_guard": lambda spark, d: forbidden_columns(spark, d, "Session_Token"),
+    "inv_voice_forbidden_columns_guard": lambda spark, d: voice_forbidden_columns(spark, d, "emotion"),
     "privacy_request_intake": privacy_requests,
     "quality_run_upsert": quality_runs,
     "evidence_forbidden_keys": key_hits,
@@ -232,10 +289,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 GOOD = f"({raw.CODE}) IS NULL"
-KNOWN = "source_offset % 29 NOT IN (1, 2, 3, 24)"
-ID = f"CASE WHEN {KNOWN} AND source_offset % 29 <> 4 THEN {raw.EVENT_ID.replace('{{txt|source_offset - 23}}', '(source_offset - 23)::VARCHAR')} END"
-NAME = f"CASE WHEN {KNOWN} THEN {raw.NAME} END"
+KNOWN = f"{raw.F} NOT IN (1, 2, 3, 24)"
+ID = f"CASE WHEN {KNOWN} AND {raw.F} <> 4 THEN {raw.EVENT_ID.replace('{{txt|source_offset - 23}}', '(source_offset - 23)::VARCHAR')} END"
+NAME = f"CASE WHEN {KNOWN} THEN nullif(trim({raw.NAME}), '') END"
 FIRST = f"SELECT arg_min(event_id, (source_partition, source_offset)) AS event_id, min((source_partition, source_offset)) AS p FROM (SELECT {ID} AS event_id, source_partition, source_offset FROM landing WHERE {GOOD}) GROUP BY event_id"
+DEAD = ("source_topic", *PLACE, "event_id", "event_name", "error_code", "error_message", "raw_record_sha256", "raw_record_bytes")
 HASH = "'sha256:' || sha256(value)"
 MESSAGE = "substr(replace(error_code, '_', ' '), 1, 500)"
 
@@ -250,16 +308,31 @@ def oracles() -> dict[str, str]:
     for pattern in REDACTED:
         redact = f"regexp_replace({redact}, '{pattern}', '[redacted]', 'g')"
     said = "CASE source_offset % 8 " + " ".join(f"WHEN {i} THEN replace('{m}', '{{0}}', source_offset::VARCHAR)" for i, m in enumerate(MESSAGES)) + " END"
-    kinds = ", ".join(f"'{k}'" for k in (*REQUEST_TYPES, "other"))
+    kinds, blocked, hashes, admins, banned = (", ".join(f"'{k}'" for k in x) for x in ((*REQUEST_TYPES, "other"), BLOCKED, HASH_KEYS, ADMIN_KEYS, BANNED_HOT))
+    squashed = "replace(replace(replace(lower(trim(k)), '_', ''), '-', ''), ' ', '')"
+    dead = (
+        f"{bytes_}, v AS (SELECT source_offset, value FROM raw_events), d AS (SELECT source_topic, source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD}),"
+        f" m AS (SELECT d.*, {MESSAGE} AS error_message, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM d JOIN v USING (source_offset)) "
+    )
     return {
         "hot_bounded_copy": f"{hot} SELECT * FROM hot_events ORDER BY landed_at DESC, event_id DESC LIMIT 500",
         "hot_table_write": f"{hot} SELECT strftime(occurred_at, '%Y%m')::INTEGER AS month, event_name, count(*) AS n FROM hot_events GROUP BY ALL",
         "redact_text": land + f"SELECT source_offset, trim(regexp_replace({redact}, '\\s+', ' ', 'g')) AS message FROM (SELECT source_offset, {said} AS m FROM landing)",
         "privacy_request_intake": land + f"SELECT DISTINCT concat(t, ':', r) AS run_key, t AS request_type, r AS request_id FROM (SELECT [{kinds}][(source_offset % 6 + 1)::INT] AS t, 'r' || (source_offset % 100)::VARCHAR AS r FROM landing WHERE source_offset % 17 <> 0 AND source_offset % 19 <> 0) WHERE t <> 'other'",
         "quality_run_upsert": land + "SELECT event_name AS id, CASE WHEN length(event_name) % 2 = 0 THEN max(occurred_at) + INTERVAL 1 HOUR ELSE max(occurred_at) END AS finished_at, CASE WHEN length(event_name) % 2 = 0 THEN 0 ELSE count(*) END AS critical_count FROM landing GROUP BY event_name",
-        "evidence_forbidden_keys": f"{rows} SELECT event_id, 0::BIGINT AS forbidden_keys FROM evidence_rows WHERE payload NOT LIKE '%token%'",
-        "evidence_unsafe_values": f"{rows} SELECT event_id, len(list_filter(json_keys(payload), lambda k: json_type(payload, '$.' || k) = 'VARCHAR' AND (json_extract_string(payload, '$.' || k) LIKE '%@%' OR length(regexp_replace(json_extract_string(payload, '$.' || k), '[^0-9]', '', 'g')) >= 7)))::BIGINT AS unsafe_values FROM evidence_rows",
-        "evidence_dlq_count": land + f"SELECT count(*) AS dlq_count FROM (SELECT {ID} AS e FROM landing WHERE NOT {GOOD}) WHERE e LIKE 'ev-1%'",
+        "evidence_forbidden_keys": f"{rows} SELECT event_id, (len(list_filter(json_keys(subject), lambda k: {squashed} IN ({blocked}))) + len(list_filter(json_keys(payload), lambda k: {squashed} IN ({blocked}))))::BIGINT AS forbidden_keys FROM evidence_rows",
+        "evidence_unsafe_values": f"{rows}, v AS (SELECT event_id, event_name, payload, unnest(json_keys(payload)) AS k FROM evidence_rows), t AS (SELECT *, json_type(payload, '$.' || k) AS kind, trim(json_extract_string(payload, '$.' || k)) AS t FROM v)"
+        " SELECT event_id, count(*) FILTER (kind IN ('OBJECT', 'ARRAY') OR kind = 'VARCHAR' AND (length(t) > 256 OR t LIKE '%@%' OR t LIKE '%://%' OR lower(t) LIKE '%bearer %' OR lower(t) LIKE '%token=%'"
+        f" OR CASE WHEN k IN ({hashes}) THEN NOT regexp_full_match(t, 'sha256:[A-Za-z0-9_.-]{{1,96}}') ELSE event_name IN ({admins}) AND NOT regexp_full_match(t, '[A-Za-z0-9_.-]{{1,96}}') OR length(regexp_replace(t, '[^0-9]', '', 'g')) >= 7 END)) AS unsafe_values FROM t GROUP BY event_id",
+        "evidence_dlq_count": land + f"SELECT count(*) AS dlq_count FROM (SELECT {ID} AS e, landed_at FROM landing WHERE NOT {GOOD}) WHERE e LIKE 'ev-%' AND landed_at BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-05 00:05:00'",
+        "hourly_parity_guard": land + "SELECT date_trunc('hour', occurred_at) AS event_hour, event_name, count(*) AS source_count, NULL::BIGINT AS rebuilt_count FROM landing WHERE event_name = 'screen_viewed' GROUP BY 1, 2",
+        "inv_forbidden_columns": column_sql(False),
+        "inv_voice_forbidden_columns": column_sql(True),
+        "inv_forbidden_columns_guard": column_sql(False, "Session_Token"),
+        "inv_voice_forbidden_columns_guard": column_sql(True, "emotion"),
+        "hot_bounded_columns": f"{hot} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS filled, '{c}' NOT IN ({banned}) AS allowed FROM hot_events" for c in MODELS["hot_events"].columns),
+        "privacy_forbidden_scan": land + f"SELECT source_partition, source_offset, {raw.F} IN (16, 18) AS forbidden_key, {raw.F} = 14 AS address FROM landing WHERE {KNOWN}",
+        "dlq_topic_record": dead + f"SELECT coalesce(event_id, raw_record_sha256) AS key, to_json({{{', '.join(repr(c) + ': ' + c for c in DEAD)}}})::VARCHAR AS value FROM m",
         "source_event_stream": f"{bytes_} SELECT source_topic, source_partition, source_offset, lower(hex(value)) AS value_hex FROM raw_events",
         "ingest_validate": land + f"SELECT source_partition, source_offset, {raw.CODE} AS error_code FROM landing",
         "ingest_accept": land + f"SELECT {ID} AS event_id, event_name, 1 AS event_version, 'fixture' AS producer, 'pseudonymous' AS privacy_class, subject_user_hash, subject_session_id, source_partition, source_offset FROM landing WHERE {GOOD}",
@@ -275,6 +348,5 @@ def oracles() -> dict[str, str]:
         " arg_max(source_partition, source_offset) AS last_processed_partition, max(source_offset) AS last_processed_offset FROM landing GROUP BY source_topic",
         "ingest_lag": land + "SELECT source_partition, source_offset, max(source_offset) OVER (PARTITION BY source_topic, source_partition) - source_offset AS last_lag FROM landing",
         "ingest_stream": land + f"SELECT source_partition, source_offset, coalesce({raw.CODE}, 'landed') AS verdict FROM landing WHERE NOT {GOOD} OR (source_partition, source_offset) IN (SELECT p FROM ({FIRST}))",
-        "dlq_sink": f"{bytes_}, v AS (SELECT source_offset, value FROM raw_events), d AS (SELECT source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD})"
-        f" SELECT source_partition, source_offset, event_id, event_name, error_code, {MESSAGE} AS error_message, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM d JOIN v USING (source_offset)",
+        "dlq_sink": dead + f"SELECT {', '.join(c for c in DEAD if c != 'source_topic')} FROM m",
     }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightvault.functions.dialect import DUCK, SPARK, render
-from brightvault.sources.shared import write_table
+from brightvault.sources import shared
 
 #: Event names by type: the name holds below the bound of k.
 NAMES = {
@@ -99,7 +99,7 @@ STEPS = (
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 landing columns, a row per event."""
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    df = spark.read.parquet(events(sf_dir))
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:  # one small file would keep one core busy; large tables are left as they are
         df = df.repartition(cores)
@@ -108,23 +108,22 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
-_stored: dict[tuple[str, str], str] = {}
+def events(sf_dir: str) -> str:
+    return f"{sf_dir}/events.parquet"
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing table as a table: written once per application and input, then read.
+    """The landing table as a table: written once per application and version of the input, then read.
 
     Derived on the fly, each filter on a landed column would be pushed into the
-    derivation and repeat it; a stored table takes the filter at its scan.
+    derivation and repeat it; a stored table takes the filter at its scan.  It is
+    in the order of time, so that a scan skips what lies outside a window of it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _stored.get(key)
-    if path:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-            return spark.read.parquet(path)
-    table, _stored[key] = write_table(landing(spark, sf_dir), "landing")
-    return table
+
+    def make() -> DataFrame:
+        return landing(spark, sf_dir).repartitionByRange("occurred_at").sortWithinPartitions("occurred_at")
+
+    return shared.stored(spark, events(sf_dir), "landing", make)
 
 
 def landing_sql() -> str:

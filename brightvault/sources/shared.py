@@ -3,19 +3,59 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    """The folder that driver and executors share: the cluster's. Only a local run may do without."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (path or "file:///tmp/checkpoints").rstrip("/")
+
+
+def place(spark: SparkSession, path: str):
+    """A path and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/model-{name}-{uuid.uuid4().hex}"
+    hadoop, system = place(spark, path)
+    system.mkdirs(hadoop)
+    system.deleteOnExit(hadoop)
+    return path
 
 
 def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` as a parquet table, read again, and its path; it goes when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/model-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession, name)}/table"
     df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def version(spark: SparkSession, path: str) -> str:
+    """What tells a changed table from an unchanged one: names, sizes and times of its files."""
+    hadoop, system = place(spark, path)
+    found = sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in system.listStatus(hadoop))
+    return uuid.uuid5(uuid.NAMESPACE_URL, str(found)).hex
+
+
+#: Paths of tables that this application has written, by application, input, its version and name.
+_stored: dict[tuple[str, str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, source: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table made once per application and version of its ``source``, then read."""
+    key = (spark.sparkContext.applicationId, source, version(spark, source), name)
+    path = _stored.get(key)
+    if path:
+        hadoop, system = place(spark, path)
+        if system.exists(hadoop):
+            return spark.read.parquet(path)
+    table, _stored[key] = write_table(make(), name)
+    return table

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brightvault.sources.shared import place
 from brightvault.streaming.validate import validated
 
+#: Buckets of landed event ids.
+ID_BUCKETS = 64
 PLACE = ("source_topic", "source_partition", "source_offset")
 LANDED = (
     "event_id event_name event_version occurred_at received_at producer privacy_class consent_scope subject subject_user_hash subject_session_id payload"
@@ -71,22 +74,27 @@ def run_stream(source: DataFrame, out: str, checkpoint: str, once: bool = True):
 
     Each micro-batch writes its accepted and rejected records below its own
     number, so a batch that is replayed overwrites itself; event ids that older
-    batches have landed are left out.  Offsets are committed after the write.
+    batches have landed are left out.  Landed ids are kept by bucket of their hash,
+    and a batch reads only the buckets that its own ids fall in.  Offsets are
+    committed after the write.
     """
     spark = source.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).cast("int")
 
     def land(batch: DataFrame, number: int) -> None:
         checked = validated(batch).persist()
+        good = accepted(checked)
+        hadoop, system = place(spark, f"{out}/ids")
         older = None
-        root = fs_path(f"{out}/landing")
-        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(root):
-            done = [str(s.getPath()) for s in fs.listStatus(root) if int(s.getPath().getName().split("=")[1]) < number]
-            older = spark.read.parquet(*done) if done else None
-        insert_if_absent(accepted(checked), older).write.mode("overwrite").parquet(f"{out}/landing/batch={number}")
+        if system.exists(hadoop):
+            touched = [r["b"] for r in good.select(bucket.alias("b")).distinct().collect()]  # ID_BUCKETS at most
+            ids = spark.read.schema("event_id string, batch long, bucket int").parquet(f"{out}/ids")
+            older = ids.where((F.col("batch") < number) & F.col("bucket").isin(touched))
+        landed = insert_if_absent(good, older).persist()
+        landed.write.mode("overwrite").parquet(f"{out}/landing/batch={number}")
+        landed.select("event_id", bucket.alias("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/ids/batch={number}")
         rejected(checked).write.mode("overwrite").parquet(f"{out}/dlq/batch={number}")
-        checked.select(*PLACE, "event_id", "error_code").write.mode("overwrite").parquet(f"{out}/seen/batch={number}")
+        landed.unpersist()
         checked.unpersist()
 
     stream = source.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)

@@ -4,8 +4,8 @@ The first rule that a record breaks gives its ``error_code``.  JSON is parsed
 once, into a variant; keys at any depth come from one left-to-right pass over
 the strings of the canonical text.
 
-Where this differs from a lenient JSON reader: objects with a repeated key are
-``invalid_json``, and a boolean event_version is ``invalid_event_version``.
+Where this differs from a lenient JSON reader: objects with a repeated key, or a
+key of more than 50,000 characters, are ``invalid_json``, and a boolean event_version is ``invalid_event_version``.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ ADMIN_KEYS = {
 }
 HASH_KEYS = ("target_hash", "audit_receipt_hash")
 TOKEN = r"[\p{L}\p{N}_.-]{1,96}"
-STRINGS = r'"((?:[^"\\]|\\.)*)"(\s*:)?'
+# Possessive throughout: the engine neither recurses into a long string nor tries it again.
+STRINGS = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"(\s*+:)?'
 
 
 def keys_at_any_depth(text: Column) -> Column:

@@ -37,6 +37,12 @@ CASES = [
     ({"subject": {"user_hash": "h", "session_id": None}}, None),
     ({"subject": {"user_hash": " "}}, "missing_subject_hash"),
     ({"privacy_class": ""}, "missing_privacy_class"),
+    ({"event_name": " "}, "missing_event_name"),
+    ({"occurred_at": ""}, "missing_occurred_at"),
+    ({"received_at": "soon"}, "invalid_received_at"),
+    ({"producer": None}, "missing_producer"),
+    ({"subject": {"session_id": "s"}}, "missing_subject_hash"),
+    ({"event_id": None}, "missing_event_id"),
 ]
 
 
@@ -51,6 +57,50 @@ def test_named_cases(spark):
     assert [got[i] for i in range(len(rows))] == want
 
 
+BIG = 1 << 20
+
+
+@pytest.mark.parametrize(
+    ("payload", "code"),
+    [
+        ({"text": "x" * BIG}, None),
+        ({"text": '\\"' * (BIG // 2)}, None),
+        ({"k" * 40_000: 1}, None),
+        ({"k" * BIG: 1}, "invalid_json"),
+        ({"text": "x" * BIG, "deep": [{"e_mail": 1}]}, "blocked_payload_identifier"),
+        ({"text": '"email":' * (BIG // 8)}, None),
+        ({"a": [[[{"b": {"Phone-Number": "\\" * BIG}}]]]}, "blocked_payload_identifier"),
+    ],
+)
+def test_long_strings_pass_the_gate(spark, payload, code):
+    """A megabyte of plain characters, quotes and backslashes, in values and in keys."""
+    row = validated(raw(spark, [json.dumps(GOOD | {"payload": payload}).encode()])).select("error_code").collect()[0]
+    assert row.error_code == code
+
+
+def test_stream_reads_only_the_buckets_it_needs(spark, tmp_path):
+    """Ids come back in later batches, one bucket and several at a time."""
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    schema, landed = raw(spark, [b""]).schema, []
+    for ids in (["a", "b", "c"], ["c", "d"], ["a"], [f"n{i}" for i in range(40)] + ["b", "d"]):
+        raw(spark, [json.dumps(GOOD | {"event_id": i}).encode() for i in ids]).write.mode("append").parquet(src)
+        ingest.run_stream(spark.readStream.schema(schema).parquet(src), out, ck).awaitTermination()
+        landed = sorted(r.event_id for r in spark.read.parquet(f"{out}/landing").collect())
+    assert landed == sorted(["a", "b", "c", "d", *(f"n{i}" for i in range(40))])
+    assert spark.read.parquet(f"{out}/ids").select("bucket").distinct().count() > 1
+
+
+def test_no_folder_but_the_shared_one_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from brightvault.sources.shared import shared_dir
+
+    cluster = lambda path: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: path), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    assert shared_dir(cluster("hdfs:///work/")) == "hdfs:///work"
+    with pytest.raises(ValueError):
+        shared_dir(cluster(None))
+
+
 def test_dead_letters_never_carry_the_body(spark):
     rows = [json.dumps(GOOD | {"event_id": "a@b", "payload": {"email": "secret"}}).encode()]
     dead = ingest.rejected(validated(raw(spark, rows))).collect()[0]

@@ -26,7 +26,8 @@ def rows(names, values):
 
 @pytest.mark.parametrize(
     "name",
-    ["stg_channel_sessions", "stg_voice_sessions", "h_channel", "l_event_participant", "sat_feed_serving_event", "pit_content_daily", "s_voice_speech_activity_daily", "mart_reaction_valence_daily", "stage_reconciliation", "ingest_validate", "hourly_parity"],
+    ["stg_channel_sessions", "stg_voice_sessions", "h_channel", "l_event_participant", "sat_feed_serving_event", "pit_content_daily", "s_voice_speech_activity_daily", "mart_reaction_valence_daily", "stage_reconciliation", "ingest_validate", "hourly_parity_guard", "hub_reporting_reaction", "link_reaction_content", "l_user_channel_session",
+     "s_reaction_valence_daily", "s_occupation_cohort_daily", "dlq_topic_record", "hot_bounded_columns", "privacy_forbidden_scan", "evidence_forbidden_keys", "evidence_unsafe_values", "evidence_dlq_count"],
 )
 def test_matches_the_checking_sql(spark, name):
     got = catalog.queries()[name](spark, DIR)
@@ -69,6 +70,48 @@ def test_satellite_conflicts_and_replays(spark, tables):
     assert frame("inv_sat_grain", {"sat_rows": drift}).count() == 20 and frame("inv_sat_state", {"sat_rows": drift}).count() == 20
 
 
+VIOLATIONS = {
+    "inv_hub_guard": {"hub_required_field_null", "duplicate_hash_key", "business_key_hash_drift", "hash_key_business_key_drift"},
+    "inv_satellite_guard": {"satellite_grain_conflict", "satellite_duplicate_exact_replay", "satellite_hashdiff_state_drift", "satellite_event_timestamp_missing"},
+    "inv_bdv_formula_guard": {"emoji_usage_count_mismatch", "reaction_valence_count_mismatch", "occupation_share_out_of_range", "together_coordination_score_mismatch"},
+    "inv_mart_contract_ids_guard": {"missing_contract", "invalid_contract_metadata"},
+    "privacy_invariants_guard": {"failed_candidate_published", "missing_audit_kind"},
+    "inv_trust_guard": {
+        "invalid_status_value", "required_partition_not_trusted", "freshness_hidden_missing_or_partial_partition", "expected_empty_classification_failed",
+        "expected_exclusion_classification_failed", "late_open_classification_failed",
+    },
+}
+
+
+@pytest.mark.parametrize("name", sorted(VIOLATIONS))
+def test_guards_find_each_fault(spark, name):
+    assert {r.violation for r in catalog.queries()[name](spark, DIR).select("violation").distinct().collect()} >= VIOLATIONS[name]
+
+
+@pytest.mark.parametrize("name", ["inv_reconciliation_negative", "inv_mart_duplicate_keys_guard", "inv_voice_gate_guard", "hourly_parity_guard", "inv_forbidden_columns_guard", "inv_voice_forbidden_columns_guard"])
+def test_guards_find_something(spark, name):
+    assert not catalog.queries()[name](spark, DIR).isEmpty()
+
+
+def test_forbidden_keys_are_counted_at_any_depth(spark):
+    from brightvault.plans import extra
+    from brightvault.streaming.validate import BLOCKED, keys_at_any_depth
+
+    rows = [('{"a":1}', 0), ('{"E-Mail":1,"b":[{"user id":2},{"phone":{"lat":1}}]}', 4), ('{"a":"\\"email\\":1"}', 0), (None, None)]
+    df = spark.createDataFrame(rows, "t string, n int").select("n", extra.F.size(extra.F.filter(keys_at_any_depth(extra.F.col("t")), lambda k: k.isin(*BLOCKED))).alias("got"))
+    assert all(r.got == r.n or r.n is None for r in df.collect())
+
+
+def test_a_changed_input_is_landed_anew(spark, tmp_path):
+    from brightvault.sources import adapter
+
+    events = spark.read.parquet(f"{DIR}/events.parquet")
+    events.limit(10).write.parquet(str(tmp_path / "events.parquet"))
+    assert adapter.stored(spark, str(tmp_path)).count() == 10
+    events.limit(5).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert adapter.stored(spark, str(tmp_path)).count() == 15
+
+
 def trust_row(**change):
     base = {"asset_key": "a", "reporting_date": datetime.date(2024, 1, 2), "reporting_timezone": "z", "asset_layer": "x", "freshness_evaluation_basis": "b", "freshness_timestamp_field": "f", "freshness_target_minutes": 60,
             "max_clock_skew_minutes": 5, "late_arrival_grace_minutes": 180, "expected_minimum_mode": "one_to_one_partition", "asset_required_for_publication": True, "upstream_activity_count": 5,
