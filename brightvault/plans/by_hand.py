@@ -34,6 +34,21 @@ VALENCE = """valences AS (
 CONTRACTS = "'reaction_valence_count_daily,positive_reaction_day_daily,negative_reaction_day_daily' AS metric_contract_ids"
 
 
+# Payload keys of a voice summary, in the order in which they are hashed.
+VOICE = (
+    "voice_session_key", "room_key", "room_type_key", "session_duration_bucket", "microphone_unmuted_duration_bucket", "unmute_count_bucket", "first_unmute_latency_bucket", "permission_state",
+    "speech_activity_duration_bucket", "speech_activity_ratio_bucket", "reconnect_count_bucket", "join_failure_reason_code", "rtt_bucket", "jitter_bucket", "packet_loss_bucket",
+)
+STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
+VOICES = f"""voices AS (
+  SELECT md5({member('voice_session_key')}) AS voice_session_hk, {DAY} AS reporting_date, {member('room_type_key')} AS room_type_key, {member('session_duration_bucket')} AS session_duration_bucket, {member('platform')} AS platform,
+         {member('app_version')} AS app_version, coalesce({member('purpose_id')}, 'analytics.voice_usage_measurement.v1') AS purpose_id, {member('legal_basis_id')} AS legal_basis_id, {member('notice_version')} AS notice_version,
+         coalesce({member('retention_policy_id')}, 'voice-summary-30d-anonymize-or-delete-v1') AS retention_policy_id, coalesce({member('record_source_mode')}, 'unknown') AS record_source_mode,
+         lower({member('production_write_enabled')}) = 'true' AS production_write_enabled, landed_at AS load_datetime, 'analytics.raw_event_landing' AS record_source,
+         md5(concat_ws('||', event_name, event_version::VARCHAR, {STAMP.format('occurred_at')}, {STAMP.format('received_at')}, {', '.join(f"coalesce({member(k)}, '')" for k in VOICE)}, payload_sha256, raw_record_sha256)) AS hashdiff
+  FROM landing WHERE event_name = 'voice_usage_session_summary' AND json_exists(payload, '$.voice_session_key') AND json_exists(payload, '$.room_key') AND json_exists(payload, '$.room_type_key'))"""
+
+
 def by_hand(landing: str) -> dict[str, str]:
     base = f"WITH landing AS ({landing}), "
     loads = "min(landed_at) AS load_datetime, 'analytics.raw_event_landing' AS record_source"
@@ -44,6 +59,7 @@ def by_hand(landing: str) -> dict[str, str]:
         "l_user_channel_session": base + SESSIONS
         + f", keyed AS (SELECT md5(subject_user_hash) AS subject_user_hk, md5(channel) AS channel_hk, md5(session_key) AS channel_session_hk, {loads} FROM sessions GROUP BY 1, 2, 3)"
         " SELECT md5(subject_user_hk || '||' || channel_hk || '||' || channel_session_hk) AS link_hk, * FROM keyed",
+        "sat_voice_usage": base + VOICES + " SELECT * FROM voices",
         "s_reaction_valence_daily": base + REACTED + ", " + VALENCE
         + " SELECT reporting_date, reaction_valence, occupation_cohort_key, n AS reaction_valence_count, added AS added_reaction_count, removed AS removed_reaction_count, people AS distinct_actor_count,"
         " CASE WHEN people < 10 THEN 'suppress_before_pl' ELSE 'reportable' END AS small_cell_suppression_status, 'partial' AS source_completeness_label, 'explicit-signal-only' AS wording_status,"
