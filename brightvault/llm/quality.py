@@ -93,11 +93,15 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = 1
     return Model(mean, w / scale)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """Learns from labelled rows that are not held out."""
-    small_batches(docs.sparkSession)
+def labelled(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """``doc_id, y`` of the labels that may be learned from, written."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out("doc_id"))
-    known = stash(known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top"), "labels")
+    return stash(known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top"), "labels")
+
+
+def fit(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) -> tuple[Model, float] | None:
+    """The model without its cut, and the share of label 0."""
+    small_batches(docs.sparkSession)
     count = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(count) < 2:
         return None
@@ -110,24 +114,49 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     y = np.array([r[1] for r in got])
     if len(set(y.tolist())) < 2:
         return None
-    model = fit_pairs(np.array([r[2] for r in got]), y)
-    model.cut = quantile(docs, known, model, count[0] / (count[0] + count[1]))
-    return model
-
+    return fit_pairs(np.array([r[2] for r in got]), y), count[0] / (count[0] + count[1])
 
-def quantile(docs: DataFrame, known: DataFrame, model: Model, share: float) -> float:
-    """The score below which ``share`` of the ``known`` documents lie: half-way between the two around it."""
 
+def strength_col(text: Column | str, model: Model) -> Column:
     @F.pandas_udf("double")
     def strength(texts: pd.Series) -> pd.Series:
         return pd.Series([model.strength(features(t)) for t in texts], dtype="float64")
 
-    scores = stash(docs.select("doc_id", "text").join(small(known.select("doc_id")), "doc_id").select(strength("text").alias("s")), "strengths")
+    return strength(text)
+
+
+def quantile(scores: DataFrame, share: float) -> float:
+    """The ``s`` below which ``share`` of the rows lie: half-way between the two around it."""
     at = scores.agg(F.percentile_approx("s", share, ACCURACY)).collect()[0][0]
     above = scores.where(F.col("s") > at).agg(F.min("s")).collect()[0][0]
     return at if above is None else (at + above) / 2
 
 
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Model | None:
+    """Learns from labelled rows that are not held out; only their texts are read for the cut."""
+    known = labelled(labels, label)
+    found = fit(docs, known, sample)
+    if found is None:
+        return None
+    model, share = found
+    rows = docs.select("doc_id", "text").join(small(known.select("doc_id")), "doc_id")
+    model.cut = quantile(stash(rows.select(strength_col("text", model).alias("s")), "strengths"), share)
+    return model
+
+
+def scores(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, text`` to ``doc_id, score``: each text is read once for its strength, from which cut and scores follow."""
+    known = labelled(labels, label)
+    found = fit(docs, known, sample)
+    if found is None:
+        return docs.select("doc_id", F.lit(CUT).alias("score"))
+    model, share = found
+    strengths = stash(docs.select("doc_id", strength_col("text", model).alias("s")), "strengths")
+    cut = quantile(strengths.join(known, "doc_id"), share)
+    gap = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.col("s") - cut + math.log(CUT / (1 - CUT))))
+    return strengths.select("doc_id", (1 / (1 + F.exp(-gap))).alias("score"))
+
+
 def score_col(text: Column | str, model: Model | None) -> Column:
     if model is None:
         return F.lit(CUT)
@@ -140,10 +169,8 @@ def score_col(text: Column | str, model: Model | None) -> Column:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), score_col("text", model).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    found = scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
 def good_ones(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

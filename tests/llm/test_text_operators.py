@@ -316,10 +316,12 @@ def test_the_cut_is_a_quantile_of_all_labelled_documents(spark):
     share = sum(i % 3 == 0 for i in ids) / len(ids)
     below = sum(v < model.cut for v in s)
     assert abs(below - share * len(s)) <= 1 or min(abs(v - model.cut) for v in s) < 1e-9
+    found = {(r.doc_id, round(r.score, 9)) for r in quality.scores(docs, labels, sample=40).collect()}
+    assert found == {(d, round(model.score(quality.features(t)), 9)) for d, t in rows}
     again = quality.train(docs.repartition(2), labels, sample=40)
     assert again.cut == model.cut and (again.weights == model.weights).all()
     empty = docs.where("false").withColumn("label", F.lit(1))
-    assert quality.train(empty, labels) is None and empty.select(quality.score_col("text", None)).count() == 0
+    assert quality.train(empty, labels) is None and quality.scores(empty, labels).count() == 0 and empty.select(quality.score_col("text", None)).count() == 0
 
 
 def plain_machine(x, y, n, ridge=1e-3, steps=150):
