@@ -210,7 +210,7 @@ def words(rng, n):
     return [f"w{rng.randrange(10**6)}" for _ in range(n)]
 
 
-def test_passages(spark):
+def common_passages():
     rng = random.Random(11)
     shared = words(rng, 80)
     fuzzy = [w if i % 14 else "changed" + w for i, w in enumerate(shared)]
@@ -219,37 +219,43 @@ def test_passages(spark):
     line = words(rng, 12)
     rows += [(20 + i, " ".join(words(rng, 60) + line + words(rng, 60))) for i in range(6)]  # a short line is no passage
     same = " ".join(words(rng, 60))
-    rows += [(30, same), (31, same), (None, same), (40, None), (41, ""), (42, "short text")]
-    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
-    assert {d for d, _, _ in got} == {10, 11, 12, 30, 31, None}
-    spans = {d: (a, b) for d, a, b in got}
-    assert abs(spans[10][0] - 40) <= 2 and abs(spans[10][1] - 120) <= 2 and abs(spans[11][0] - 90) <= 2 and spans[11][1] == 170 and spans[30] == (0, 60)
-    assert chains.repeated_passages(frame(spark, [])).count() == 0
+    return rows + [(30, same), (31, same), (None, same), (40, None), (41, ""), (42, "short text")]
 
 
-def test_passages_of_texts_whose_seeds_smaller_texts_have_too(spark):
+def pieces_elsewhere():
     """Pieces of a passage stand in many other texts, none of which has enough of it."""
     rng = random.Random(3)
     rows, want = [], set()
-    for i in range(0, 1000, 100):
+    for i in range(1000, 2000, 100):
         shared = words(rng, 72)
         rows += [(i + j, " ".join(words(rng, 50) + shared + words(rng, 20))) for j in (1, 2)]
         rows += [(i + 10 + j, " ".join(words(rng, 40) + shared[k : k + 24] + words(rng, 40))) for j, k in enumerate((0, 12, 24, 36, 48))]
         want |= {(i + j, 50, 122) for j in (1, 2)}
-    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
-    assert {d for d, _, _ in got} == {d for d, _, _ in want}
+    return rows, want
 
 
-def test_a_chain_that_is_not_alike_is_cut_into_its_passages(spark):
+def two_passages():
     """Two passages in the same order, with unrelated words between."""
     rng = random.Random(8)
     rows, want = [], set()
     for i, (size, far) in enumerate([(100, 60), (100, 100), (100, 300), (500, 300), (500, 1000), (500, 1800)]):
-        one, two = words(rng, size), words(rng, size)
-        rows += [(10 * i + j, " ".join(words(rng, 20) + one + words(rng, far) + two + words(rng, 20))) for j in (1, 2)]
-        want |= {(10 * i + j, s, s + size) for j in (1, 2) for s in (20, 20 + size + far)}
-    got = {(r.doc_id, r.start_word, r.end_word) for r in chains.repeated_passages(frame(spark, rows)).collect()}
-    assert got == want
+        one, two, d = words(rng, size), words(rng, size), 3000 + 10 * i
+        rows += [(d + j, " ".join(words(rng, 20) + one + words(rng, far) + two + words(rng, 20))) for j in (1, 2)]
+        want |= {(d + j, s, s + size) for j in (1, 2) for s in (20, 20 + size + far)}
+    return rows, want
+
+
+def test_passages(spark):
+    pieces, cut = pieces_elsewhere(), two_passages()
+    found = chains.repeated_passages(frame(spark, common_passages() + pieces[0] + cut[0]).repartition(8)).collect()
+    got = {(r.doc_id, r.start_word, r.end_word) for r in found}
+    low = {g for g in got if g[0] is None or g[0] < 1000}
+    assert {d for d, _, _ in low} == {10, 11, 12, 30, 31, None}
+    spans = {d: (a, b) for d, a, b in low}
+    assert abs(spans[10][0] - 40) <= 2 and abs(spans[10][1] - 120) <= 2 and abs(spans[11][0] - 90) <= 2 and spans[11][1] == 170 and spans[30] == (0, 60)
+    assert {d for d, _, _ in got - low if d < 3000} == {d for d, _, _ in pieces[1]}
+    assert {g for g in got - low if g[0] >= 3000} == cut[1]
+    assert chains.repeated_passages(frame(spark, [])).count() == 0
 
 
 @pytest.mark.parametrize("seed", range(5))
