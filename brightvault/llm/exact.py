@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from brightvault.llm.common import BLANKS, facts_of, small, stash, table
 
 #: Hashes of a bucket, and bits of the directory at most (2^20 cells are 40 MB); buckets of an owner.
-CAPACITY, DEPTH, OWNED = 50_000, 20, 4
+CAPACITY, DEPTH, OWNED = 8_192, 20, 4
 #: Lanes in which the copies of a chain are merged before they go to its owner.
 LANES = 16
 
