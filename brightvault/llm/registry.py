@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from brightvault.llm import chains, chat, exact, langid, lines, mixing, quality, rules, simhash, tokens
+from brightvault.llm import audit, chains, chat, divergence, exact, langid, lines, mixing, quality, rules, simhash, tokens, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": tokens.op9_bpe,
     "op10_simhash": simhash.op10_simhash,
+    "op11_interactions": audit.op11_interactions,
+    "op12_urls": urls.op12_urls,
+    "op13_divergence": divergence.op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -27,4 +30,7 @@ ORACLES: dict[str, str] = {
     "rule_ablations": rules.ABLATION_SQL,
     "op7_lines": lines.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op11_interactions": audit.OP11_SQL,
+    "op12_urls": urls.OP12_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
