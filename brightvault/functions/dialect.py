@@ -9,10 +9,31 @@ say what each mark stands for.  Spark runs the expressions through
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 ZONE = "Europe/Istanbul"
 MARK = re.compile(r"\{\{(\w+)\|([^{}]*)\}\}")
 
+#: The instants that stand for now: a query never asks the machine's clock. ``at`` sets them.
+NOW = {"evaluated_at": "2024-01-04 12:00:00", "window_end": "2024-01-05 00:00:00"}
+_clock: ContextVar[dict[str, str]] = ContextVar("clock", default=NOW)
+
+
+@contextmanager
+def at(**instants: str | None) -> Iterator[None]:
+    """Statements that are rendered inside take these instants (UTC), where given."""
+    unknown = set(instants) - set(NOW)
+    if unknown:
+        raise ValueError(f"no such instant: {sorted(unknown)}")
+    token = _clock.set(_clock.get() | {k: v for k, v in instants.items() if v is not None})
+    try:
+        yield
+    finally:
+        _clock.reset(token)
+
+
 #: What both engines read alike.
 BOTH = {
     "n": "CAST(count_if({0}) AS BIGINT)",
@@ -30,6 +51,7 @@ BOTH = {
 SPARK = BOTH | {
     "doc": "from_json({0}, 'map<string,string>')",
     "text": "try_element_at(doc, '{0}')",
+    "path": "get_json_object({0}, '{1}')",
     "key": "coalesce(map_contains_key(doc, '{0}'), false)",
     "int": "CASE WHEN {0} RLIKE '^[0-9]+$' THEN try_cast({0} AS INT) END",
     "token": "nullif(regexp_replace(lower({0}), '[^a-z0-9_:-]', ''), '')",
@@ -61,6 +83,7 @@ SPARK = BOTH | {
 DUCK = BOTH | {
     "doc": "{0}",
     "text": "json_extract_string(doc, '$.{0}')",
+    "path": "json_extract_string({0}, '{1}')",
     "key": "coalesce(list_contains(json_keys(doc), '{0}'), false)",
     "int": "CASE WHEN regexp_matches({0}, '^[0-9]+$') THEN try_cast({0} AS INTEGER) END",
     "token": "nullif(regexp_replace(lower({0}), '[^a-z0-9_:-]', '', 'g'), '')",
@@ -94,7 +117,7 @@ def render(text: str, marks: dict[str, str]) -> str:
     """``text`` with its marks replaced, inner ones first; ``;;`` separates arguments."""
     while found := MARK.search(text):
         parts = [p.strip() for p in found[2].split(";;")]
-        put = marks[found[1]]
+        put = f"TIMESTAMP '{_clock.get()[parts[0]]}'" if found[1] == "clock" else marks[found[1]]
         for i, p in enumerate(parts):
             put = put.replace("{%d}" % i, p)
         text = text[: found.start()] + put + text[found.end() :]

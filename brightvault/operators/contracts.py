@@ -8,12 +8,29 @@ from brightvault.plans.model import Model, add, same
 
 ZONE = "reporting_timezone <> 'Europe/Istanbul'"
 LABEL = ("source_completeness_label_allowed", "source_completeness_label IS NULL OR source_completeness_label NOT IN ('partial', 'complete')")
-# JSON keys that no landed document may have.
+# JSON keys that no landed document may have, by the contract of the landing table.
 RAW_KEYS = (
-    "email emailAddress phone phoneNumber authorization token auth_token access_token refresh_token session_token api_key cookie signed_url full_url user_id userId raw_user_id"
-    " target_user_id actor_user_id latitude longitude exact_gps raw_content raw_text post_body comment_body reply_body dm_content screenshot transcript request_body response_body"
+    "email emailAddress phone phoneNumber authorization token auth_token access_token refresh_token session_token api_key cookie signed_url full_url user_id userId raw_user_id actor_user_id"
+    " actorUserId staff_id target_user_id body message note note_body raw_note raw_note_text internal_note private_note applicant_message feedback_message search_text raw_search_text raw_text"
+    " raw_content post_body comment_body reply_body dm_content raw_policy_text request_body response_body transcript screenshot view_hierarchy support_payload support_contact contact_payload"
+    " reveal_payload reveal_value contact_value payload_value exact_gps gps latitude longitude lat lon"
 ).split()
-RAW = "(?i)\"(" + "|".join(RAW_KEYS) + ")\""
+# The same by the smoke check, which also knows what voice and pictures give away.
+SMOKE_KEYS = (
+    "email emailAddress phone phoneNumber authorization token auth_token access_token refresh_token session_token api_key cookie signed_url full_url user_id userId raw_user_id actor_user_id"
+    " actorUserId staff_id target_user_id body message note note_body raw_note raw_note_text internal_note private_note applicant_message feedback_message search_text raw_search_text raw_text"
+    " raw_content post_body comment_body reply_body dm_content raw_policy_text request_body response_body transcript screenshot view_hierarchy raw_audio audio_frame spoken_words caption summary"
+    " topic sentiment emotion voiceprint speaker_embedding speaker_identity speaking_timeline speaking_interval vad_frame_list co_participant_key pairwise_duration private_room_name"
+    " raw_room_title ocr raw_filename support_payload support_contact contact_payload reveal_payload reveal_value contact_value payload_value exact_gps gps latitude longitude lat lon"
+).split()
+#: When the times of an event can't be right.
+BAD_TIMES = "occurred_at IS NULL OR received_at IS NULL OR occurred_at > {{plus_minutes|received_at;;5}} OR occurred_at < TIMESTAMP '2020-01-01 00:00:00' OR received_at > {{plus_minutes|%s;;5}}" % CLOCK
+
+
+def raw_identifiers(keys: list[str]) -> str:
+    """A subject with an address, or one of the keys, whatever its case, anywhere in subject or payload."""
+    quoted = '(?i)"(' + "|".join(keys) + ')"'
+    return "subject_user_hash LIKE '%%@%%' OR {{like|subject;;KEYS}} OR {{like|payload;;KEYS}}".replace("%%", "%").replace("KEYS", quoted)
 
 
 def below_zero(columns: str) -> str:
@@ -33,8 +50,7 @@ CONTRACTS: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
     "contract_landing": (
         "landing",
         [("row_count", "*", "0"),
-         ("failed_rows", "valid_timestamps", "occurred_at IS NULL OR received_at IS NULL OR occurred_at > {{plus_minutes|received_at;;5}} OR occurred_at < TIMESTAMP '2020-01-01 00:00:00' OR received_at > {{plus_minutes|%s;;5}}" % CLOCK),
-         ("failed_rows", "no_raw_identifiers", "subject_user_hash LIKE '%%@%%' OR {{like|subject;;%s}} OR {{like|payload;;%s}}".replace("%%", "%") .replace("%s", RAW)),
+         ("failed_rows", "valid_timestamps", BAD_TIMES), ("failed_rows", "no_raw_identifiers", raw_identifiers(RAW_KEYS)),
          ("missing", "event_id", ""), ("duplicate", "event_id", ""), ("invalid", "privacy_class", "'pseudonymous'")],
     ),
     "contract_content_performance": (
@@ -182,7 +198,6 @@ add(
     Model(
         "landing",
         {"row_count": "count(*)", "duplicate_event_ids": "count(event_id) - {{distinct|event_id}}", "null_event_ids": "{{n|event_id IS NULL}}",
-         "bad_timestamps": "{{n|occurred_at IS NULL OR received_at IS NULL OR occurred_at > {{plus_minutes|received_at;;5}}}}", "bad_privacy_class": "{{n|privacy_class <> 'pseudonymous'}}",
-         "raw_identifier_rows": "{{n|subject_user_hash LIKE '%%@%%' OR {{like|subject;;%s}} OR {{like|payload;;%s}}}}".replace("%%", "%").replace("%s", RAW)},
+         "bad_timestamps": "{{n|%s}}" % BAD_TIMES, "bad_privacy_class": "{{n|privacy_class <> 'pseudonymous'}}", "raw_identifier_rows": "{{n|%s}}" % raw_identifiers(SMOKE_KEYS)},
     ),
 )

@@ -11,9 +11,12 @@ from dataclasses import replace
 from brightvault.operators import contracts, invariants, lifecycle  # noqa: F401  (their models come first)
 from brightvault.plans.constants import CONSTANTS
 from brightvault.plans.model import MODELS, Model, add, ordered, same
+from brightvault.sources.adapter import STEPS
 
 
 def columns_of(name: str) -> dict[str, str]:
+    if name == "landing":
+        return {c: c for c in STEPS[-1]}
     m = MODELS[name]
     while not (m.after or m.group or m.columns or m.parts):
         m = MODELS[m.source]
@@ -63,3 +66,13 @@ guard(
     privacy_decision_counts=("action NOT LIKE 'cleanup%'",),
 )
 guard("inv_trust", trust_judged=Model(("trust_state", "wrong_trust_fixtures"), parts=(invariants.JUDGED_PART, invariants.JUDGED_PART)))
+# What a leaking client would land: keys of either list, an address, impossible times, repeated ids.
+LEAKS = (
+    None,
+    ("source_offset % 50 = 1", "payload", "'{\"a\": {\"body\": \"x\"}}'"), ("source_offset % 50 = 2", "payload", "'{\"STAFF_ID\": 3}'"), ("source_offset % 50 = 3", "subject", "'{\"user_hash\": \"h\", \"gps\": [1]}'"),
+    ("source_offset % 50 = 4", "payload", "'{\"voiceprint\": 1}'"), ("source_offset % 50 = 5", "subject_user_hash", "'a@b'"), ("source_offset % 50 = 6", "payload", "'{\"bodyguard\": \"safe\"}'"),
+    ("source_offset % 50 = 7", "received_at", "TIMESTAMP '2024-01-09 00:00:00'"), ("source_offset % 50 = 8", "occurred_at", "TIMESTAMP '2019-12-31 00:00:00'"), ("source_offset % 50 = 9", "privacy_class", "'identified'"),
+    ("source_offset % 50 = 10", "event_id", "CAST(NULL AS VARCHAR(9))"),
+)
+guard("contract_landing", landing=LEAKS)
+guard("landing_smoke_metrics", landing=LEAKS)

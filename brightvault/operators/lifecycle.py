@@ -7,7 +7,7 @@ from brightvault.plans.constants import register
 from brightvault.plans.model import Model, add, same
 from brightvault.streaming.validate import ADMIN_KEYS
 
-END = "TIMESTAMP '2024-01-05 00:00:00'"
+END = "{{clock|window_end}}"
 PERSONAL = ("IDENTIFIABLE", "PSEUDONYMOUS", "AGGREGATED_PERSONAL")
 REQUESTS = ("analytics_opt_out", "account_deletion", "recap_opt_out", "feed_profile_reset")
 
@@ -96,36 +96,31 @@ add("privacy_invariants", Model(("published_failures", "missing_audits"), FOUND,
 add("privacy_ref_events", Model("privacy_purge_refs", {"event_id": "{{drop|source_record_ref;;^rec:}}"}))
 add("privacy_purge_apply", Model("landing", same("event_id event_name source_offset"), join=("privacy_ref_events", "left anti", "l.event_id = r.event_id")))
 
-# Evidence windows: prefix, subject, closed time window, names.
-SUBJECT, FROM, TO = "'sha256:u7'", "TIMESTAMP '2024-01-01 00:00:00'", END
-WANTED = ("feed_item_impression", "feed_item_viewable_impression", "feed_item_open", "feed_item_like", "reaction_added", "event_viewed")
-WINDOW = f"event_id LIKE 'ev-%' AND subject_user_hash = {SUBJECT} AND occurred_at BETWEEN {FROM} AND {TO}"
-EVENT = same("event_id event_name occurred_at subject payload")
-add("evidence_rows", Model("landing", EVENT, where=f"{WINDOW} AND event_name IN {names(*WANTED)}"))
-add("canary_rows", Model("parsed", same("event_id event_name occurred_at"), where=f"{WINDOW} AND coalesce({{{{text|platform}}}}, 'ios') = 'ios'"))
-add("evidence_event_counts", Model("canary_rows", {"n": "count(*)", "in_scope": f"event_name IN {names(*WANTED)}"}, group=same("event_name")))
-ALLOWED = "CASE event_name " + " ".join(f"WHEN '{e}' THEN {{{{list|{', '.join(repr(k) for k in ks)}}}}}" for e, ks in ADMIN_KEYS.items()) + " ELSE {{list|''}} END"
-add("evidence_unsupported_keys", Model("parsed", {"event_id": "event_id", "unsupported_keys": "{{unlisted|{{keys|doc}};;%s}}" % ALLOWED}, where=f"{WINDOW} AND event_name IN {names(*WANTED)}"))
-SAFE_ACTS = ("feed_item_like", "feed_item_share", "reaction_added", "reply_created")
-add(
-    "canary_counts",
-    Model("canary_rows", {"sessions": "{{n|event_name = 'channel_session_started'}}", "screens": "{{n|event_name = 'screen_viewed'}}", "impressions": "{{n|event_name IN ('feed_item_impression', 'feed_item_viewable_impression')}}",
-                          "opens": "{{n|event_name = 'feed_item_open'}}", "acts": "{{n|event_name IN %s}}" % names(*SAFE_ACTS), "others": "{{n|event_name NOT IN %s}}" % names(*WANTED)}),
-)
+# Evidence windows: prefix, person, closed time window, and names or the client's platform.
+FROM, TO = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-05 00:00:00'"
+# Payload keys by required event.
+EVIDENCE_KEYS = {
+    "admin_surface_viewed": "admin_surface module_key screen_key result_state role_scope_key".split(),
+    "admin_action_visibility_viewed": "admin_surface module_key screen_key action_key action_surface result_state disabled_reason_key role_scope_key proposal_mode target_type target_hash".split(),
+} | ADMIN_KEYS
+# What a canary client may send, and which of these are interactions.
+CANARY_NAMES = (
+    "app_session_started app_session_ended screen_viewed feed_item_impression feed_item_viewable_impression feed_item_open feed_item_like feed_item_reply feed_item_join feed_item_share"
+    " feed_item_copy_link feed_item_hide feed_item_show_less feed_item_not_interested feed_item_mute_author feed_item_mute_channel"
+).split()
+INTERACTIONS = (
+    "feed_item_like feed_item_reply feed_item_join feed_item_share feed_item_copy_link feed_item_hide feed_item_show_less feed_item_not_interested feed_item_mute_author feed_item_mute_channel"
+).split()
 
 
-def criteria(name: str, counts: str, **rules: str) -> None:
-    """A row per criterion: its name, and whether it holds."""
-    each = ", ".join("{{st|'%s';;%s;;1}}" % (n, c) for n, c in rules.items())
-    add(name, Model(counts, {"e": "{{each|%s}}" % each}, after={"criterion": "e.a", "passed": "e.b"}))
+def window(person: str) -> str:
+    return f"event_id LIKE 'ev-%' AND subject_user_hash = '{person}' AND occurred_at BETWEEN {FROM} AND {TO}"
 
 
-criteria(
-    "canary_criteria", "canary_counts", at_least_one_app_session_started="sessions >= 1", at_least_two_screen_viewed="screens >= 2", at_least_five_feed_impressions="impressions >= 5",
-    at_least_one_feed_item_open="opens >= 1", at_least_one_safe_feed_interaction="acts >= 1", only_allowed_event_names="others = 0",
-)
-add("evidence_counts", Model("evidence_rows", {"n": "count(*)", "kinds": "{{distinct|event_name}}", "untimed": "{{n|occurred_at IS NULL}}"}))
-criteria("evidence_criteria", "evidence_counts", rows_present="n > 0", every_expected_name_present=f"kinds = {len(WANTED)}", rows_are_timed="untimed = 0")
+EVENT = same("event_id event_name occurred_at subject payload")
+add("evidence_rows", Model("landing", EVENT, where=f"{window('sha256:u7')} AND event_name IN {names(*EVIDENCE_KEYS)}"))
+add("canary_rows", Model("landing", EVENT, where=f"{window('sha256:u8')} AND {{{{path|payload;;$.client.platform}}}} = 'ios'"))
+add("evidence_event_counts", Model("canary_rows", {"n": "count(*)", "in_scope": f"event_name IN {names(*CANARY_NAMES)}"}, group=same("event_name")))
 
 # The hot rollup.
 HOT = "event_id event_name event_version producer privacy_class subject_user_hash payload_sha256 raw_record_sha256 raw_record_bytes source_topic source_partition source_offset"

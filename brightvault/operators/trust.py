@@ -11,7 +11,7 @@ from brightvault.operators.stage import CHANNEL, CONTENT, CONTENT_KEY, FUNNEL, F
 from brightvault.plans.constants import LAYERS
 from brightvault.plans.model import Model, add, same
 
-CLOCK = "TIMESTAMP '2024-01-04 12:00:00'"
+CLOCK = "{{clock|evaluated_at}}"
 NO_TIME = "CAST(NULL AS TIMESTAMP)"
 
 # Which events a stage takes, and which of those it leaves out for want of a key.

@@ -6,6 +6,8 @@ check the rules of a model and not only its rendering.
 
 from __future__ import annotations
 
+from brightvault.operators.contracts import RAW_KEYS, SMOKE_KEYS
+
 PAYLOAD = "payload->>'$.{}'"
 
 
@@ -49,10 +51,48 @@ VOICES = f"""voices AS (
   FROM landing WHERE event_name = 'voice_usage_session_summary' AND json_exists(payload, '$.voice_session_key') AND json_exists(payload, '$.room_key') AND json_exists(payload, '$.room_type_key'))"""
 
 
+# The landing table with the rows of a leaking client beside its own, as operators/guards.py puts them in.
+LEAKED = "leaked AS (SELECT * FROM landing" + "".join(
+    f" UNION ALL BY NAME SELECT * REPLACE ({value} AS {column}) FROM landing WHERE source_offset % 50 = {i}"
+    for i, (column, value) in enumerate(
+        [("payload", "'{\"a\": {\"body\": \"x\"}}'"), ("payload", "'{\"STAFF_ID\": 3}'"), ("subject", "'{\"user_hash\": \"h\", \"gps\": [1]}'"), ("payload", "'{\"voiceprint\": 1}'"), ("subject_user_hash", "'a@b'"),
+         ("payload", "'{\"bodyguard\": \"safe\"}'"), ("received_at", "TIMESTAMP '2024-01-09 00:00:00'"), ("occurred_at", "TIMESTAMP '2019-12-31 00:00:00'"), ("privacy_class", "'identified'"), ("event_id", "NULL")], 1)
+) + ")"
+
+
+def leaks(keys: list[str]) -> str:
+    """A row that shows a key, found as a quoted word and not by a pattern."""
+    return f"contains(subject_user_hash, '@') OR list_bool_or(list_transform([{', '.join(repr(k.lower()) for k in keys)}], lambda k: contains(lower(subject), '\"' || k || '\"') OR contains(lower(payload), '\"' || k || '\"')))"
+
+
+TIMES = "occurred_at IS NULL OR received_at IS NULL OR occurred_at - received_at > INTERVAL 5 MINUTE OR year(occurred_at) < 2020 OR received_at > TIMESTAMP '2024-01-04 12:05:00'"
+
+
+def landing_contract(table: str) -> str:
+    checks = {
+        "row_count_all": ("row_count", None, "(count(*) = 0)::INT"), "failed_rows_valid_timestamps": ("failed_rows", None, f"count(*) FILTER ({TIMES})"),
+        "failed_rows_no_raw_identifiers": ("failed_rows", None, f"count(*) FILTER ({leaks(RAW_KEYS)})"), "missing_event_id": ("missing", "event_id", "count(*) - count(event_id)"),
+        "duplicate_event_id": ("duplicate", "event_id", "count(event_id) - count(DISTINCT event_id)"), "invalid_privacy_class": ("invalid", "privacy_class", "count(*) FILTER (privacy_class <> 'pseudonymous')"),
+    }
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS check_name, '{k}' AS kind, {f"'{c}'" if c else 'NULL'} AS column_name, {e}::BIGINT AS failed_count FROM {table}" for n, (k, c, e) in checks.items())
+    return f"SELECT 'contract_landing' AS contract_name, *, CASE WHEN failed_count > 0 THEN 'failed' ELSE 'passed' END AS status FROM ({rows})"
+
+
+def smoke(table: str) -> str:
+    return (
+        "SELECT count(*) AS row_count, count(event_id) - count(DISTINCT event_id) AS duplicate_event_ids, count(*) - count(event_id) AS null_event_ids,"
+        f" count(*) FILTER ({TIMES}) AS bad_timestamps, count(*) FILTER (privacy_class <> 'pseudonymous') AS bad_privacy_class, count(*) FILTER ({leaks(SMOKE_KEYS)}) AS raw_identifier_rows FROM {table}"
+    )
+
+
 def by_hand(landing: str) -> dict[str, str]:
     base = f"WITH landing AS ({landing}), "
     loads = "min(landed_at) AS load_datetime, 'analytics.raw_event_landing' AS record_source"
     return {
+        "contract_landing": base + f"x AS (SELECT 1) {landing_contract('landing')}",
+        "contract_landing_guard": base + f"{LEAKED} {landing_contract('leaked')}",
+        "landing_smoke_metrics": base + f"x AS (SELECT 1) {smoke('landing')}",
+        "landing_smoke_metrics_guard": base + f"{LEAKED} {smoke('leaked')}",
         "reporting_date": base + f"x AS (SELECT 1) SELECT event_id, occurred_at, {DAY} AS reporting_date FROM landing",
         "hub_reporting_reaction": base + REACTED + f" SELECT reaction_hk, event_id AS reaction_business_key, {loads} FROM reacted GROUP BY ALL",
         "link_reaction_content": base + REACTED + f" SELECT md5(reaction_hk || '||' || content_hk) AS link_hk, reaction_hk, content_hk, {loads} FROM reacted GROUP BY reaction_hk, content_hk",

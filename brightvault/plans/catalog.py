@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brightvault.functions.dialect import at
 from brightvault.operators import business, contracts, guards, invariants, lifecycle, stage, trust, vault  # noqa: F401  (each registers its models)
 from brightvault.plans import extra
 from brightvault.plans.by_hand import by_hand
@@ -16,7 +17,7 @@ from brightvault.sources.adapter import events, landing_sql, stored
 
 #: Models that only serve others.
 INNER = {
-    "raw_texts", "raw_events", "privacy_judged", "privacy_records", "published_failures", "failed_checks", "missing_audits", "privacy_ref_events", "canary_counts", "evidence_counts", "hourly_counts", "hourly_partials", "hot_events", "contract_uses", "contract_usage", "registered", "asset_days", "parsed", "actor_cohorts", "actor_turns", "cohort_users", "cohort_totals", "offered", "trust_judged", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
+    "raw_texts", "raw_events", "privacy_judged", "privacy_records", "published_failures", "failed_checks", "missing_audits", "privacy_ref_events", "hourly_counts", "hourly_partials", "hot_events", "contract_uses", "contract_usage", "registered", "asset_days", "parsed", "actor_cohorts", "actor_turns", "cohort_users", "cohort_totals", "offered", "trust_judged", "trust_contracted", "hub_rows", "link_participants", "sat_rows", "mart_rows", "missing_contracts",
     "inv_unbalanced", "inv_contradiction", "pit_grain", "pit_matched", "pit_recomputed", "contract_results", "contract_executed", "privacy_lifecycle_audit", "personal_recap_monthly",
 }
 INNER_LIKE = ("faulty_", "guarded_", "orphans_", "lost_", "inv_hub_", "inv_link_", "inv_sat_")
@@ -50,8 +51,19 @@ def published() -> list[str]:
     return [n for n in MODELS if n not in INNER and not (n.endswith("_counts") and n.startswith("contract_")) and (n.endswith("_guard") and not n.startswith(("faulty_", "guarded_")) or not n.startswith(INNER_LIKE))]
 
 
-def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A model over the test events."""
+def build(spark: SparkSession, sf_dir: str, name: str, **instants: str) -> DataFrame:
+    """A model over the test events. instants: ``evaluated_at`` and ``window_end``, in UTC."""
+    with at(**instants):
+        return built(spark, sf_dir, name)
+
+
+def checking(name: str, **instants: str) -> str:
+    """The statement that gives the rows of ``build`` in the checking engine."""
+    with at(**instants):
+        return checking_sql(name, base())
+
+
+def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = given(spark, sf_dir)
     origin = name.removesuffix("_guard").removesuffix("_negative")
     shared = SHARED.get(origin) or next((s for k, s in SHARED.items() if k.endswith("_") and origin.startswith(k)), ())

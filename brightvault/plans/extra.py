@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brightvault.operators.lifecycle import FROM, TO
+from brightvault.plans import evidence as ev
 from brightvault.plans.model import MODELS, checking_sql, frame
 from brightvault.plans.tables import written
 from brightvault.sources import raw
-from brightvault.sources.adapter import landing_sql
+from brightvault.sources.adapter import events, landing_sql
 from brightvault.sources.adapter import stored as landing
-from brightvault.sources.shared import scratch
+from brightvault.sources.shared import scratch, stored
 from brightvault.streaming import ingest
-from brightvault.streaming.validate import ADMIN_KEYS, BLOCKED, HASH_KEYS, keys_at_any_depth, validated
+from brightvault.streaming.validate import BLOCKED, keys_at_any_depth, validated
 
 PLACE = ["source_partition", "source_offset"]
 
@@ -26,7 +26,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts, written once: a filter on them would otherwise be pushed into the parsing and repeat it."""
-    return written(validated(raw_events(spark, sf_dir)), "verdicts")
+    return stored(spark, events(sf_dir), "verdicts", lambda: validated(raw_events(spark, sf_dir)))
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,10 +59,6 @@ REDACTED = (
     r"\+?\d[\d\s().-]{7,}\d",
     rf"(?i)({TERMS})",
 )
-#: Messages to redact, by offset, with the event's own values.
-MESSAGES = ("mail me at a{0}@b.example now", "call +90 555 123 45 6{0}", "token={0}abc; rest", "Bearer abc.{0}", "lat: 41.{0}", "plain   text {0}", "a body of text {0}", "eyJabcdefghij{0}.abcdefghijkl.abcdefghijkl")
-
-
 def redact_text(text: Column, limit: int = 500) -> Column:
     for pattern in REDACTED:
         text = F.regexp_replace(text, pattern, "[redacted]")
@@ -71,9 +67,8 @@ def redact_text(text: Column, limit: int = 500) -> Column:
 
 
 def redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("source_offset").cast("string")
-    choice = F.element_at(F.array(*[F.replace(F.lit(m), F.lit("{0}"), number) for m in MESSAGES]), (F.col("source_offset") % len(MESSAGES) + 1).cast("int"))
-    return landing(spark, sf_dir).select("source_offset", redact_text(choice).alias("message"))
+    """The texts of documents, which hold personal data and secrets, as a finding's message would show them."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", redact_text(F.coalesce("text", F.lit(""))).alias("message"))
 
 
 def hot_bounded_copy(spark: SparkSession, sf_dir: str, rows: int = 500) -> DataFrame:
@@ -169,6 +164,7 @@ def column_sql(private: bool, renamed: str | None = None) -> str:
     )
 
 
+# Columns that the hot copy may not have.
 BANNED_HOT = "subject payload email phone token request_body response_body screenshot exact_gps raw_content note_body reveal_payload".split()
 
 
@@ -181,6 +177,7 @@ def hot_bounded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Privacy requests as text lines: blank, broken and unsupported ones are left out.
+# Requests that run.
 REQUEST_TYPES = ("account_deletion", "analytics_opt_out", "recap_opt_out", "feed_profile_reset", "kvkk_deletion_request")
 
 
@@ -215,41 +212,18 @@ def quality_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_id(runs, again, "id", "finished_at")
 
 
-def key_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event of the evidence window, forbidden keys at any depth of subject and payload."""
-    rows = frame("evidence_rows", {"landing": landing(spark, sf_dir)})
-    hits = lambda c: F.size(F.filter(keys_at_any_depth(F.col(c)), lambda k: k.isin(*BLOCKED)))
-    return rows.select("event_id", (hits("subject") + hits("payload")).cast("long").alias("forbidden_keys"))
-
-
-def unsafe_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event of the window, payload values that are no bounded metadata: long texts, contact data, links, tokens, loose hashes, phone numbers, nested values."""
-    rows = frame("evidence_rows", {"landing": landing(spark, sf_dir)})
-    entries = F.map_entries(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>"))
-
-    def unsafe(e: Column) -> Column:
-        key, v = F.trim(e["key"]), e["value"]
-        t = F.trim(F.try_variant_get(v, "$", "string"))
-        low, bounded = F.lower(t), "[A-Za-z0-9_.-]{1,96}"
-        odd = (F.length(t) > 256) | t.contains("@") | t.contains("://") | low.contains("bearer ") | low.contains("token=")
-        loose = F.when(key.isin(*HASH_KEYS), ~t.rlike(f"^sha256:{bounded}$")).otherwise(
-            F.col("event_name").isin(*ADMIN_KEYS) & ~t.rlike(f"^{bounded}$") | (F.length(F.regexp_replace(t, "[^0-9]", "")) >= 7)
-        )
-        return F.when(F.schema_of_variant(v) == "STRING", odd | loose).otherwise(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"))
-
-    return rows.select("event_id", F.size(F.filter(entries, unsafe)).cast("long").alias("unsafe_values"))
+def evidence(spark: SparkSession, sf_dir: str, name: str = "evidence_rows") -> DataFrame:
+    return frame(name, {"landing": landing(spark, sf_dir)})
 
 
 def dlq_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the evidence window's prefix that landed in its time or up to five minutes after it."""
-    timed = landing(spark, sf_dir).where(f"landed_at BETWEEN {FROM} AND {TO} + INTERVAL 5 MINUTES").select(*PLACE)
-    dead = ingest.rejected(checked(spark, sf_dir)).where("event_id LIKE 'ev-%'").join(timed, PLACE, "left_semi")
-    return dead.agg(F.count(F.lit(1)).alias("dlq_count"))
+    return ev.dead_in_window(ingest.rejected(checked(spark, sf_dir)), landing(spark, sf_dir), PLACE)
 
 
 def privacy_forbidden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed raw envelopes whose subject or payload has a blocked key or an address, by kind."""
-    rows = written(validated(raw_events(spark, sf_dir)), "verdicts").where("payload IS NOT NULL")
+    rows = checked(spark, sf_dir).where("payload IS NOT NULL")
     keyed = F.coalesce(F.exists(keys_at_any_depth(F.concat_ws(",", "subject", "payload")), lambda k: k.isin(*BLOCKED)), F.lit(False))
     return rows.select(*PLACE, keyed.alias("forbidden_key"), F.concat_ws(",", "subject", "payload").contains("@").alias("address"))
 
@@ -261,7 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_reject": of(lambda c: ingest.rejected(c).select(*PLACE, "event_id", "event_name", "error_code")),
     "ingest_error_counts": of(lambda c: c.where("error_code IS NOT NULL").groupBy("error_code").count().withColumnRenamed("count", "n")),
     "ingest_safe_identity": of(lambda c: c.select(*PLACE, "safe_event_id", "safe_event_name")),
-    "ingest_hashes": of(lambda c: c.select(*PLACE, "raw_record_sha256", "raw_record_bytes")),
+    "ingest_hashes": of(lambda c: c.select(*PLACE, "raw_record_sha256", "raw_record_bytes", "payload_sha256")),
     "dlq_sink": of(lambda c: ingest.rejected(c).select(*PLACE, "event_id", "event_name", "error_code", "error_message", "raw_record_sha256", "raw_record_bytes")),
     "dlq_topic_record": of(ingest.dlq_records),
     "landing_insert_if_absent": of(lambda c: ingest.insert_if_absent(ingest.accepted(c), None).select("event_id", *PLACE)),
@@ -282,9 +256,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inv_voice_forbidden_columns_guard": lambda spark, d: voice_forbidden_columns(spark, d, "emotion"),
     "privacy_request_intake": privacy_requests,
     "quality_run_upsert": quality_runs,
-    "evidence_forbidden_keys": key_hits,
-    "evidence_unsafe_values": unsafe_values,
+    "evidence_forbidden_keys": lambda spark, d: evidence(spark, d).select("event_id", ev.key_hits(ev.FORBIDDEN_KEYS, True).alias("forbidden_keys")),
+    "evidence_unsupported_keys": lambda spark, d: evidence(spark, d).select("event_id", ev.unsupported_keys().alias("unsupported_keys")),
+    "evidence_unsafe_values": lambda spark, d: evidence(spark, d).select("event_id", ev.unsafe_values().alias("unsafe_values")),
     "evidence_dlq_count": dlq_window,
+    "evidence_criteria": lambda spark, d: ev.evidence_criteria(evidence(spark, d), dlq_window(spark, d)),
+    "canary_criteria": lambda spark, d: ev.canary_criteria(evidence(spark, d, "canary_rows"), dlq_window(spark, d)),
     "privacy_forbidden_scan": privacy_forbidden,
 }
 
@@ -303,28 +280,20 @@ def oracles() -> dict[str, str]:
     land = f"WITH landing AS ({landing_sql()}) "
     bytes_ = checking_sql("raw_events", base).removesuffix("\nSELECT * FROM raw_events")
     hot = checking_sql("hot_events", base).removesuffix("SELECT * FROM hot_events")
-    rows = checking_sql("evidence_rows", base).removesuffix("\nSELECT * FROM evidence_rows")
-    redact = "m"
+    redact = "coalesce(text, '')"
     for pattern in REDACTED:
         redact = f"regexp_replace({redact}, '{pattern}', '[redacted]', 'g')"
-    said = "CASE source_offset % 8 " + " ".join(f"WHEN {i} THEN replace('{m}', '{{0}}', source_offset::VARCHAR)" for i, m in enumerate(MESSAGES)) + " END"
-    kinds, blocked, hashes, admins, banned = (", ".join(f"'{k}'" for k in x) for x in ((*REQUEST_TYPES, "other"), BLOCKED, HASH_KEYS, ADMIN_KEYS, BANNED_HOT))
-    squashed = "replace(replace(replace(lower(trim(k)), '_', ''), '-', ''), ' ', '')"
+    kinds, banned = (", ".join(f"'{k}'" for k in x) for x in ((*REQUEST_TYPES, "other"), BANNED_HOT))
     dead = (
         f"{bytes_}, v AS (SELECT source_offset, value FROM raw_events), d AS (SELECT source_topic, source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD}),"
         f" m AS (SELECT d.*, {MESSAGE} AS error_message, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM d JOIN v USING (source_offset)) "
     )
-    return {
+    return ev.statements(landing_sql(), (f"NOT {GOOD}", ID)) | {
         "hot_bounded_copy": f"{hot} SELECT * FROM hot_events ORDER BY landed_at DESC, event_id DESC LIMIT 500",
         "hot_table_write": f"{hot} SELECT strftime(occurred_at, '%Y%m')::INTEGER AS month, event_name, count(*) AS n FROM hot_events GROUP BY ALL",
-        "redact_text": land + f"SELECT source_offset, trim(regexp_replace({redact}, '\\s+', ' ', 'g')) AS message FROM (SELECT source_offset, {said} AS m FROM landing)",
+        "redact_text": f"SELECT doc_id, CASE WHEN length(m) > 500 THEN rtrim(substr(m, 1, 497)) || '...' ELSE m END AS message FROM (SELECT doc_id, trim(regexp_replace({redact}, '\\s+', ' ', 'g')) AS m FROM documents)",
         "privacy_request_intake": land + f"SELECT DISTINCT concat(t, ':', r) AS run_key, t AS request_type, r AS request_id FROM (SELECT [{kinds}][(source_offset % 6 + 1)::INT] AS t, 'r' || (source_offset % 100)::VARCHAR AS r FROM landing WHERE source_offset % 17 <> 0 AND source_offset % 19 <> 0) WHERE t <> 'other'",
         "quality_run_upsert": land + "SELECT event_name AS id, CASE WHEN length(event_name) % 2 = 0 THEN max(occurred_at) + INTERVAL 1 HOUR ELSE max(occurred_at) END AS finished_at, CASE WHEN length(event_name) % 2 = 0 THEN 0 ELSE count(*) END AS critical_count FROM landing GROUP BY event_name",
-        "evidence_forbidden_keys": f"{rows} SELECT event_id, (len(list_filter(json_keys(subject), lambda k: {squashed} IN ({blocked}))) + len(list_filter(json_keys(payload), lambda k: {squashed} IN ({blocked}))))::BIGINT AS forbidden_keys FROM evidence_rows",
-        "evidence_unsafe_values": f"{rows}, v AS (SELECT event_id, event_name, payload, unnest(json_keys(payload)) AS k FROM evidence_rows), t AS (SELECT *, json_type(payload, '$.' || k) AS kind, trim(json_extract_string(payload, '$.' || k)) AS t FROM v)"
-        " SELECT event_id, count(*) FILTER (kind IN ('OBJECT', 'ARRAY') OR kind = 'VARCHAR' AND (length(t) > 256 OR t LIKE '%@%' OR t LIKE '%://%' OR lower(t) LIKE '%bearer %' OR lower(t) LIKE '%token=%'"
-        f" OR CASE WHEN k IN ({hashes}) THEN NOT regexp_full_match(t, 'sha256:[A-Za-z0-9_.-]{{1,96}}') ELSE event_name IN ({admins}) AND NOT regexp_full_match(t, '[A-Za-z0-9_.-]{{1,96}}') OR length(regexp_replace(t, '[^0-9]', '', 'g')) >= 7 END)) AS unsafe_values FROM t GROUP BY event_id",
-        "evidence_dlq_count": land + f"SELECT count(*) AS dlq_count FROM (SELECT {ID} AS e, landed_at FROM landing WHERE NOT {GOOD}) WHERE e LIKE 'ev-%' AND landed_at BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-05 00:05:00'",
         "hourly_parity_guard": land + "SELECT date_trunc('hour', occurred_at) AS event_hour, event_name, count(*) AS source_count, NULL::BIGINT AS rebuilt_count FROM landing WHERE event_name = 'screen_viewed' GROUP BY 1, 2",
         "inv_forbidden_columns": column_sql(False),
         "inv_voice_forbidden_columns": column_sql(True),
@@ -339,7 +308,9 @@ def oracles() -> dict[str, str]:
         "ingest_reject": land + f"SELECT source_partition, source_offset, {ID} AS event_id, {NAME} AS event_name, {raw.CODE} AS error_code FROM landing WHERE NOT {GOOD}",
         "ingest_error_counts": land + f"SELECT {raw.CODE} AS error_code, count(*) AS n FROM landing WHERE NOT {GOOD} GROUP BY 1",
         "ingest_safe_identity": land + f"SELECT source_partition, source_offset, {ID} AS safe_event_id, {NAME} AS safe_event_name FROM landing",
-        "ingest_hashes": f"{bytes_} SELECT source_partition, source_offset, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes FROM raw_events",
+        # The canonical payload: members in the order of their keys, without blanks.
+        "ingest_hashes": f"{bytes_}, c AS (SELECT source_offset, 'sha256:' || sha256('{{' || array_to_string(list_transform(list_sort(json_keys(payload)), lambda k: '\"' || k || '\":' || json_extract(payload, '$.' || k)::VARCHAR), ',') || '}}') AS payload_sha256 FROM landing WHERE {GOOD})"
+        f" SELECT source_partition, source_offset, {HASH} AS raw_record_sha256, octet_length(value)::INTEGER AS raw_record_bytes, payload_sha256 FROM raw_events LEFT JOIN c USING (source_offset)",
         "landing_insert_if_absent": land + f"SELECT event_id, p[1] AS source_partition, p[2] AS source_offset FROM ({FIRST})",
         "ingest_dedupe": land + f"SELECT event_id, p[2] AS source_offset FROM ({FIRST})",
         "ingest_checkpoint": land + "SELECT source_topic, source_partition, max(source_offset) AS last_offset FROM landing GROUP BY ALL",

@@ -9,6 +9,7 @@ daily tables are kept for the application, as long as their input doesn't change
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame
 
@@ -37,7 +38,8 @@ def prepared(given: dict[str, DataFrame], *waves: tuple[str, ...], source: str =
         return written(frame(name, tables), name)
 
     for wave in waves:
+        contexts = [copy_context() for _ in wave]  # the clock goes along
         with ThreadPoolExecutor(WRITERS) as pool:
-            tables = list(pool.map(lambda n, g=given: table(n, g), wave))
+            tables = list(pool.map(lambda c, n, g=given: c.run(table, n, g), contexts, wave))
         given = given | dict(zip(wave, tables, strict=True))
     return given

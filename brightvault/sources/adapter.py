@@ -18,10 +18,18 @@ NAMES = {
     "view": ((30, "post_impression"), (50, "feed_item_impression"), (60, "feed_item_viewable_impression"), (75, "event_card_impression"), (90, "event_viewed"), (100, "voice_usage_session_summary")),
     "click": ((30, "reaction_added"), (45, "feed_item_open"), (55, "reply_created"), (65, "feed_item_hide"), (75, "event_interested"), (85, "channel_session_started"), (100, "together_opened")),
     "purchase": ((30, "feed_item_like"), (45, "event_joined"), (60, "event_join_attempted"), (75, "channel_session_ended"), (90, "together_response_added"), (100, "together_created")),
-    "signup": ((25, "reaction_added"), (40, "channel_session_ended"), (55, "event_interested"), (70, "together_invite_sent"), (85, "feed_item_share"), (100, "screen_viewed")),
+    "signup": ((25, "reaction_added"), (40, "channel_session_ended"), (55, "event_interested"), (70, "together_invite_sent"), (85, "feed_item_share"), (94, "screen_viewed"), (100, "app_session_started")),
     "error": ((30, "reaction_removed"), (45, "feed_item_not_interested"), (60, "event_join_failed"), (75, "event_left"), (90, "together_reported"), (100, "feed_item_mute_author")),
 }
-EVENT_NAME = "CASE " + " ".join(f"WHEN event_type = '{t}' AND k < {b} THEN '{n}'" for t, bounds in NAMES.items() for b, n in bounds) + " END"
+#: What members of staff do instead of some of these.
+STAFF = "user_id % 15 = 7"
+STAFF_NAMES = {
+    "view": ((100, "admin_surface_viewed"),),
+    "click": ((100, "admin_action_visibility_viewed"),),
+    "signup": ((100, "admin_note_metadata_recorded"),),
+    "error": ((100, "admin_reveal_audit_recorded"),),
+}
+EVENT_NAME = "CASE " + " ".join(f"WHEN {STAFF} AND event_type = '{t}' AND k < {b} THEN '{n}'" for t, bounds in STAFF_NAMES.items() for b, n in bounds) + " " + " ".join(f"WHEN event_type = '{t}' AND k < {b} THEN '{n}'" for t, bounds in NAMES.items() for b, n in bounds) + " END"
 #: 2024-01-01 00:00 and 06:00 in microseconds.
 T0, T6 = 1704067200000000, 1704088800000000
 
@@ -39,9 +47,13 @@ def members(when: str, *pairs: str) -> str:
 K, ID, V = "{{txt|k}}", "{{txt|id % 3}}", "{{txt|v}}"
 PAYLOAD = ", ".join(
     [
-        pair("surface", "'home'"),
-        pair("source", "concat('s', {{txt|k % 2}})"),
-        pair("occupation_cohort_key", "concat('Cohort ', {{txt|id % 2}})"),
+        members("event_name NOT LIKE 'admin_%'", pair("surface", "'home'"), pair("source", "concat('s', {{txt|k % 2}})"), pair("occupation_cohort_key", "concat('Cohort ', {{txt|id % 2}})")),
+        members("event_name LIKE 'feed_item_%' OR event_name IN ('screen_viewed', 'app_session_started')", pair("client", "CASE WHEN user_id % 2 = 0 THEN '{\"platform\": \"ios\", \"version\": \"1.0\"}' ELSE '{\"platform\": \"android\"}' END", False)),
+        members("event_name LIKE 'admin_%'", pair("admin_surface", "'members'"), pair("module_key", "CASE WHEN event_name = 'admin_surface_viewed' AND id % 7 = 0 THEN 'see https://x.example' ELSE concat('m', {{txt|id % 3}}) END"), pair("screen_key", "'list'")),
+        members("event_name = 'admin_surface_viewed'", pair("result_state", "'ok'"), pair("role_scope_key", "'r1'"), "CASE WHEN id % 5 = 0 THEN '\"extra_key\": 1' END"),
+        members("event_name = 'admin_action_visibility_viewed'", pair("action_key", "'mute'"), pair("action_surface", "'row'"), pair("target_type", "'member'"), pair("target_hash", "CASE WHEN id % 6 = 0 THEN 'md5:1' ELSE concat('sha256:t', {{txt|id % 4}}) END"), "CASE WHEN id % 5 = 1 THEN '\"reason\": \"none\"' END"),
+        members("event_name = 'admin_reveal_audit_recorded'", pair("reveal_field_class", "'contact'"), pair("reveal_result", "'shown'"), pair("audit_receipt_hash", "concat('sha256:a', {{txt|id % 9}})")),
+        members("event_name = 'admin_note_metadata_recorded'", pair("note_surface", "'member'"), pair("note_type", "'short'"), pair("has_attachment", "'true'", False)),
         members("event_name LIKE 'feed_item_%'", pair("item_id", f"concat('i', {ID})"), pair("dwell_ms", "{{txt|10 * k}}"), pair("feed_mode", "'for_you'")),
         members("event_name LIKE 'feed_item_%' AND k % 2 = 0", pair("visible_duration_ms", "'900'", False), pair("visible_percent_max", "'80'", False), pair("source_bucket", "'b'"), pair("reason_key", "'r'"), pair("candidate_set_id", "'cs'")),
         members("event_name IN ('reaction_added', 'reaction_removed', 'reply_created', 'post_impression')", pair("post_id", ID, False), pair("emoji_key", "CASE WHEN k % 2 = 0 THEN 'Like!' ELSE 'heart' END")),

@@ -39,9 +39,13 @@ def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def version(spark: SparkSession, path: str) -> str:
-    """What tells a changed table from an unchanged one: names, sizes and times of its files."""
+    """What tells a changed table from an unchanged one: names, sizes and times of its files, at any depth."""
     hadoop, system = place(spark, path)
-    found = sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in system.listStatus(hadoop))
+    files, found = system.listFiles(hadoop, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((str(f.getPath()), f.getLen(), f.getModificationTime()))
+    found.sort()
     return uuid.uuid5(uuid.NAMESPACE_URL, str(found)).hex
 
 

@@ -37,11 +37,15 @@ TOKEN = r"[\p{L}\p{N}_.-]{1,96}"
 STRINGS = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"(\s*+:)?'
 
 
+def all_keys(text: Column) -> Column:
+    """Key names of a JSON text, at any depth, as they are written."""
+    found = F.arrays_zip(F.regexp_extract_all(text, F.lit(STRINGS), F.lit(1)).alias("k"), F.regexp_extract_all(text, F.lit(STRINGS), F.lit(2)).alias("c"))
+    return F.transform(F.filter(found, lambda x: F.length(F.trim(x["c"])) > 0), lambda x: x["k"])
+
+
 def keys_at_any_depth(text: Column) -> Column:
     """Normalised key names of a JSON text."""
-    found = F.arrays_zip(F.regexp_extract_all(text, F.lit(STRINGS), F.lit(1)).alias("k"), F.regexp_extract_all(text, F.lit(STRINGS), F.lit(2)).alias("c"))
-    keys = F.filter(found, lambda x: F.length(F.trim(x["c"])) > 0)
-    return F.transform(keys, lambda x: F.translate(F.lower(F.trim(x["k"])), "_- ", ""))
+    return F.transform(all_keys(text), lambda k: F.translate(F.lower(F.trim(k)), "_- ", ""))
 
 
 def blocked(text: Column) -> Column:
