@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +71,14 @@ def built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return frame(name, prepared(tables, stages, *shared, source=events(sf_dir), kept=KEPT))
 
 
+def daily_frames(landing: DataFrame, models: Sequence[str]) -> dict[str, DataFrame]:
+    """Models over a landing table, or the part of it that holds some days; their stages are written once."""
+    tables = {"landing": landing} | {n: constant(landing.sparkSession, n) for n in CONSTANTS}
+    stages = dict.fromkeys(n for m in models for n in ordered(m, tables) if n.startswith("stg_") and n != m)
+    tables = prepared(tables, tuple(stages))
+    return {m: frame(m, tables) for m in models}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {n: (lambda spark, d, n=n: build(spark, d, n)) for n in published()}
     return out | {"landing_scan": stored} | extra.QUERIES
