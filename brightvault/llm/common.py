@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightvault.sources.shared import shared_dir
+
 #: Characters between words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,14 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's. Only a local run may do without."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return (path or "file:///tmp/checkpoints").rstrip("/")
-
-
 def stash(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage.
 
@@ -71,6 +65,21 @@ def facts_of(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return cold.unionByName(rows.join(hot, key)).drop("n")
 
 
+def met(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner", width: int = 32) -> DataFrame:
+    """``rows`` that have a fact (``inner``, with it) or have none (``left_anti``): by broadcast while all
+    facts of ``width`` bytes fit, else only those of hot keys go by broadcast, and the others are dealt by key.
+
+    ``facts`` is a written table, a row per ``key`` with the count ``n`` of the rows that have it.
+    """
+    if facts.count() * width <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(facts.drop("n")), key, how)
+    if how == "inner":
+        return facts_of(rows, facts, key)
+    most = max(FEW, (facts.agg(F.sum("n")).collect()[0][0] or 0) // HOT)
+    cold = rows.join(F.broadcast(facts.where(F.col("n") > most).select(key)), key, how)  # HOT rows at most
+    return cold.join(facts.where(F.col("n") <= most).select(key), key, how)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, or the first of ``name_``, ``name__``, ... that no column has (whatever its case)."""
     taken = {c.lower() for c in columns}

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import BLANKS, facts_of, small, stash, table
+from brightvault.llm.common import BLANKS, facts_of, met, stash, table
 
 #: Hashes of a bucket, and bits of the directory at most (2^20 cells are 40 MB); buckets of an owner.
 CAPACITY, DEPTH, OWNED = 8_192, 20, 4
@@ -76,10 +76,10 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH)
     rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_points"), F.xxhash64("norm").alias("h"), "norm")
     keys = stash(rows.select("doc_id", "n_points", "h", F.sha2("norm", 256).alias("sha")), "keys")
     files = index(keys, capacity, depth)
-    chained = small(stash(files.where("n_rows > 1").select("h", "owner"), "chained"))
-    alone = keys.join(chained, "h", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "n_points")
+    chained = stash(files.where("n_rows > 1").select("h", "owner", F.col("n_rows").alias("n")), "chained")
+    alone = met(keys, chained, "h", "left_anti").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "n_points")
 
-    members = rows.join(chained, "h").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_points", "h", "owner", F.sha2("norm", 256).alias("sha"), "norm")
+    members = met(rows, chained, "h").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_points", "h", "owner", F.sha2("norm", 256).alias("sha"), "norm")
     members = stash(members, "members")
     order = F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row_no").alias("row"))
     merged = members.groupBy("owner", "h", "norm", F.pmod("row_no", F.lit(LANES)).alias("lane")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("best"), F.first("sha").alias("sha"))
