@@ -5,8 +5,9 @@ blocks at least.  Each of the 15 pairs of blocks cuts the fingerprints into
 shards by the value of those 21 or so bits; a shard is a BK-tree, whose
 children are keyed by their Hamming distance to the parent.  A shard's tree
 goes to every block of queries that has the same key, and a query follows
-only edges within the radius of its own distance.  Shards beyond
-``SHARD`` members are split, and each part's tree meets the whole shard's
+only edges within the radius of its own distance.  The members of shards beyond
+``SHARD`` are cut anew, by seven blocks of which such pairs agree on three.  What is still beyond it
+is split, and each part's tree meets the whole shard's
 queries in blocks, so that a tree has a fixed size whatever the input.
 
 Documents with equal fingerprints are one node.  A shard gives a spanning
@@ -29,12 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightvault.llm.common import facts_of, small, small_batches, stash, table
+from brightvault.llm.common import facts_of, met, small, small_batches, stash, table
 from brightvault.llm.graph import components
 
 SEED, RADIUS, SHINGLE = 42, 4, 4
 #: (shift, width) of the six bit blocks.
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
+#: The same of seven, for the members of crowded shards.
+SEVENS = ((0, 10), (10, 9), (19, 9), (28, 9), (37, 9), (46, 9), (55, 9))
 #: Members of a tree. Queries come in blocks of QUERIES.
 SHARD, QUERIES = 4096, 2048
 
@@ -176,10 +179,18 @@ def links(prints: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFr
     """Distinct ``fp`` to links (a, b) that join what is reachable within ``radius`` bits."""
     if radius > len(BLOCKS) - 2:
         raise ValueError("two equal blocks of six are certain for a radius of four at most")
-    bits = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in BLOCKS]
-    keys = [F.lit(n << 24) + F.shiftleft(bits[i], 12) + bits[j] for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    dealt = prints.select("fp", F.explode(F.array(*[k.cast("long") for k in keys])).alias("shard"))
-    hot = stash(dealt.groupBy("shard").count().where(F.col("count") > shard).select("shard", F.ceil(F.col("count") / shard).cast("int").alias("parts")), "hot")
+    bits = lambda blocks: [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).cast("long") for s, w in blocks]
+    two, three = bits(BLOCKS), bits(SEVENS)
+    keys = [F.lit(n << 24) + F.shiftleft(two[i], 12) + two[j] for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
+    finer = [F.lit((16 + n) << 30) + F.shiftleft(three[i], 20) + F.shiftleft(three[j], 10) + three[k] for n, (i, j, k) in enumerate(combinations(range(len(SEVENS)), 3))]
+    by = lambda of, keys: of.select("fp", F.explode(F.array(*[k.cast("long") for k in keys])).alias("shard"))
+    sizes = lambda of: of.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard)
+    dealt = by(prints, keys)
+    crowded = stash(sizes(dealt), "crowded")
+    if not crowded.isEmpty():
+        again = stash(met(dealt, crowded, "shard").select("fp").distinct(), "again")
+        dealt = met(dealt, crowded, "shard", "left_anti").unionByName(by(again, finer))
+    hot = stash(sizes(dealt).select("shard", F.ceil(F.col("n") / shard).cast("int").alias("parts")), "hot")
     own = F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))).cast("int")
     rows = (
         dealt.join(small(hot), "shard", "left")
