@@ -6,7 +6,7 @@ or more, in as many different texts: copies of one document are one text, so
 that a document that is copied everywhere doesn't lose its lines.  What stands
 around a line doesn't count.  Lines whose estimates are
 within ``band`` of the threshold get exact distinct counts instead.  Lines
-under ``words`` words stay.
+under ``words`` words stay: one by default, so only blank lines do.
 
 Lines are compared without the white space around them.  The hashes of the lines
 that go are few beside the texts: up to ``BAD`` of them are sent to all tasks and
@@ -26,11 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightvault.llm import common
 from brightvault.llm.common import BLANKS, WORD, small, small_batches, stash, table, unused
 
-SITES, WORDS, BAND, LOG_K = 10, 3, 0.2, 10
+#: Sites and texts of a boilerplate line; words that it has at least; where estimates are near the threshold; size of a sketch.
+SITES, WORDS, BAND, LOG_K = 10, 1, 0.2, 10
 #: Hashes of boilerplate lines (8 bytes each) that are sent to all tasks.
 BAD = 2_000_000
+#: Lanes of a text with many copies, where lists are joined.
+LANES = 64
 
 
 def bare(line: Column) -> Column:
@@ -62,18 +66,19 @@ def boilerplate(lines: DataFrame, sites: int = SITES, band: float = BAND, log_k:
 def cut_in_place(docs: DataFrame, bad: DataFrame, removed: str) -> DataFrame:
     """Each text cut by the broadcast hashes, which Spark and the worker compute alike (XXH64, seed 42)."""
     small_batches(docs.sparkSession)
-    hashes = np.sort(np.array([r["h"] for r in bad.collect()], np.int64))  # BAD at most
+    hashes = np.append(np.sort(bad.select("h").toArrow().column("h").to_numpy()), np.iinfo(np.int64).max)  # BAD at most, and an end
+    last = bool((hashes[:-1] == hashes[-1]).any())  # a line may have the end's hash
     sent = docs.sparkSession.sparkContext.broadcast(hashes)
     blanks = BLANKS.encode()
 
     @F.pandas_udf("text string, gone long")
     def cut(texts: pd.Series) -> pd.DataFrame:
-        known = set(sent.value.tolist())
-        out = []
+        known, out = sent.value, []
         for text in texts:
             lines = [] if text is None else text.split("\n")
-            h = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace").strip(blanks), 42) for x in lines], np.uint64).view(np.int64).tolist()
-            kept = [x for x, i in zip(lines, h, strict=True) if i not in known]
+            h = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "replace").strip(blanks), 42) for x in lines], np.uint64).view(np.int64)
+            gone = (known[np.searchsorted(known, h)] == h) & (last | (h != known[-1]))
+            kept = [x for x, bad in zip(lines, gone.tolist(), strict=True) if not bad]
             out.append((text if len(kept) == len(lines) else "\n".join(kept), len(lines) - len(kept)))
         return pd.DataFrame(out, columns=["text", "gone"])
 
@@ -86,7 +91,13 @@ def cut_by_lists(docs: DataFrame, bad: DataFrame, lines: DataFrame, removed: str
     """Each text joined with the list of its own lines that go."""
     lists = lines.select("text_key", "h").join(bad, "h", "left_semi").groupBy("text_key").agg(F.collect_set("h").alias("bad"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    wide = docs.select(row.alias("row"), F.md5("text").alias("text_key")).join(lists, "text_key", "left")
+    wide = docs.select(row.alias("row"), F.md5("text").alias("text_key"))
+    # A text with many copies, and the null text, meet their list in several lanes.
+    many = stash(wide.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > common.FEW).select("text_key", F.lit(LANES).alias("lanes")), "many")
+    of_row = F.pmod(F.monotonically_increasing_id(), F.coalesce("lanes", F.lit(1))).cast("int").alias("lane")
+    wide = wide.join(small(many, 40), F.coalesce(wide["text_key"], F.lit("")) == F.coalesce(many["text_key"], F.lit("")), "left").select("row", F.coalesce(wide["text_key"], F.lit("")).alias("text_key"), of_row)
+    lists = lists.join(small(many, 40), "text_key", "left").select("text_key", "bad", F.explode(F.sequence(F.lit(0), F.coalesce("lanes", F.lit(1)) - 1)).alias("lane"))
+    wide = wide.join(lists, ["text_key", "lane"], "left")
     parts = F.split("row.text", "\n")
     good = F.filter(parts, lambda x: ~F.array_contains("bad", F.xxhash64(bare(x))))
     cut = F.col("bad").isNotNull()
@@ -118,7 +129,7 @@ OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents),
 l AS (SELECT rid, md5(text) AS whole, coalesce('+' || source, '-') AS site, x.p AS p, x.line AS line, x.i AS i
       FROM (SELECT rid, source, text, unnest([{'p': p, 'line': trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'i': j} FOR p, j IN parts]) AS x FROM d)),
-b AS (SELECT line FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 3 GROUP BY line HAVING count(DISTINCT site) >= 10 AND count(DISTINCT whole) >= 10),
+b AS (SELECT line FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 1 GROUP BY line HAVING count(DISTINCT site) >= 10 AND count(DISTINCT whole) >= 10),
 k AS (SELECT rid, string_agg(p, chr(10) ORDER BY i) AS text, count(*) AS n FROM l WHERE line NOT IN (SELECT line FROM b) GROUP BY rid)
 SELECT doc_id, source, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, coalesce(len(parts) - coalesce(n, 0), 0)::BIGINT AS n_removed FROM d LEFT JOIN k USING (rid)
 """
