@@ -95,7 +95,7 @@ def compacted(spark: SparkSession, root: str, runs: list[Run], name: str) -> tup
         full = [r for r in runs if r.level == level]
         if len(full) < FAN:
             continue
-        ids = spark.read.schema(IDS).parquet(*[f"{root}/{r.name}/ids" for r in full if r.rows]).select("event_id", "h") if any(r.rows for r in full) else spark.createDataFrame([], "event_id string, h long")
+        ids = spark.read.schema(IDS).parquet(*[f"{root}/{r.name}/ids/part=*" for r in full if r.rows]).select("event_id", "h") if any(r.rows for r in full) else spark.createDataFrame([], "event_id string, h long")
         merged = write_run(ids, root, f"{name}-{level + 1}", level + 1)
         runs = [r for r in runs if r not in full] + [merged]
         gone += full

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 
 from brightvault.functions.dialect import ZONE
 from brightvault.sources.shared import place
-from brightvault.streaming import commits
+from brightvault.streaming import commits, purge
 
 
 def reporting_date(column: str) -> Column:
@@ -77,18 +77,20 @@ class Partitioned:
         commits.retire(self.spark, self.root, last["batch"] + 1, [f for v, f in last["folders"].items() if v in set(values)])
 
 
+def _landed(spark: SparkSession, out: str) -> DataFrame:
+    from brightvault.streaming.ingest import LANDED_SCHEMA
+
+    return commits.committed(spark, out, "landing", f"{LANDED_SCHEMA}, batch long, reporting_date date")
+
+
 def touched(spark: SparkSession, out: str, since: int) -> DataFrame:
     """Days of the rows that the batches after ``since`` have landed."""
-    from brightvault.streaming.ingest import landing_of
-
-    return landing_of(spark, out).where(F.col("batch") > since).select("reporting_date").distinct()
+    return _landed(spark, out).where(F.col("batch") > since).select("reporting_date").distinct()
 
 
 def landing_of_days(spark: SparkSession, out: str, days: DataFrame) -> DataFrame:
-    """The landing table of some days; the join prunes its partitions."""
-    from brightvault.streaming.ingest import landing_of
-
-    return landing_of(spark, out).join(F.broadcast(days), "reporting_date", "left_semi")
+    """The landing table of some days: the days prune its partitions before it is read."""
+    return purge.allowed(_landed(spark, out).join(F.broadcast(days), "reporting_date", "left_semi"), out)
 
 
 def restate(spark: SparkSession, out: str, root: str, models: Sequence[str]) -> list[date]:
@@ -102,8 +104,7 @@ def restate(spark: SparkSession, out: str, root: str, models: Sequence[str]) ->
         return []
     values = sorted(r[0] for r in touched(spark, out, since).collect())  # days
     if values:
-        given = spark.createDataFrame([(v,) for v in values], "reporting_date date").where("reporting_date IS NOT NULL")
-        rows = landing_of_days(spark, out, given).drop("batch", "reporting_date")
+        rows = landing_of_days(spark, out, touched(spark, out, since)).drop("batch", "reporting_date")
         for model, df in daily_frames(rows, models).items():
             tables[model].replace(df, [str(v) for v in values], last["batch"])
     return values
