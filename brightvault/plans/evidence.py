@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightvault.operators.lifecycle import CANARY_NAMES, EVIDENCE_KEYS, FROM, INTERACTIONS, TO
-from brightvault.streaming.validate import HASH_KEYS, all_keys
+from brightvault.streaming.validate import HASH_KEYS, all_keys, stripped
 
 # Keys that no event of an evidence window may have at any depth, with '-' as '_' and with or without '_'.
 FORBIDDEN_KEYS = (
@@ -39,7 +39,7 @@ def key_hits(forbidden: Sequence[str], squashed: bool) -> Column:
     """How many keys of subject and payload, at any depth, are forbidden."""
 
     def hits(c: str) -> Column:
-        plain = F.transform(all_keys(F.col(c)), lambda k: F.translate(F.lower(F.trim(k)), "-", "_"))
+        plain = F.transform(all_keys(F.col(c)), lambda k: F.translate(F.lower(stripped(k)), "-", "_"))
         return F.size(F.filter(plain, lambda k: k.isin(*forbidden) | (F.translate(k, "_", "").isin(*forbidden) if squashed else F.lit(False))))
 
     return (F.greatest(hits("subject"), F.lit(0)) + F.greatest(hits("payload"), F.lit(0))).cast("long")
@@ -47,7 +47,7 @@ def key_hits(forbidden: Sequence[str], squashed: bool) -> Column:
 
 def unsupported_keys() -> Column:
     """How many keys of the payload the event's allow list doesn't have; events without a list may have none. No object counts as one."""
-    keys = F.transform(F.json_object_keys("payload"), F.trim)
+    keys = F.transform(F.json_object_keys("payload"), stripped)
     allowed = F.coalesce(*[F.when(F.col("event_name") == e, F.array(*map(F.lit, ks))) for e, ks in EVIDENCE_KEYS.items()], F.array().cast("array<string>"))
     return F.coalesce(F.size(F.filter(keys, lambda k: ~F.array_contains(allowed, k))), F.lit(1)).cast("long")
 
@@ -58,8 +58,8 @@ def unsafe_values() -> Column:
     bounded = "[A-Za-z0-9_.-]{1,96}"
 
     def unsafe(e: Column) -> Column:
-        key, v = F.trim(e["key"]), e["value"]
-        t = F.trim(F.try_variant_get(v, "$", "string"))
+        key, v = stripped(e["key"]), e["value"]
+        t = stripped(F.try_variant_get(v, "$", "string"))
         low = F.lower(t)
         odd = (F.length(t) > 256) | t.contains("@") | t.contains("://") | low.contains("bearer ") | low.contains("token=")
         loose = F.when(key.isin(*HASH_KEYS), ~t.rlike(rf"\Asha256:{bounded}\z")).otherwise(

@@ -37,6 +37,15 @@ TOKEN = r"[\p{L}\p{N}_.-]{1,96}"
 STRINGS = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"(\s*+:)?'
 
 
+#: What counts as a blank at the ends of a value.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(c: Column | str) -> Column:
+    """Without blanks at the ends."""
+    return F.btrim(c, F.lit(SPACES))
+
+
 def all_keys(text: Column) -> Column:
     """Key names of a JSON text, at any depth, as they are written."""
     found = F.arrays_zip(F.regexp_extract_all(text, F.lit(STRINGS), F.lit(1)).alias("k"), F.regexp_extract_all(text, F.lit(STRINGS), F.lit(2)).alias("c"))
@@ -45,7 +54,7 @@ def all_keys(text: Column) -> Column:
 
 def keys_at_any_depth(text: Column) -> Column:
     """Normalised key names of a JSON text."""
-    return F.transform(all_keys(text), lambda k: F.translate(F.lower(F.trim(k)), "_- ", ""))
+    return F.transform(all_keys(text), lambda k: F.translate(F.lower(stripped(k)), "_- ", ""))
 
 
 def blocked(text: Column) -> Column:
@@ -55,12 +64,12 @@ def blocked(text: Column) -> Column:
 def metadata_code(key: Column, value: Column) -> Column:
     """What is wrong with a value of administrative metadata, or null."""
     kind = F.schema_of_variant(value)
-    text = F.trim(F.try_variant_get(value, "$", "string"))
+    text = stripped(F.try_variant_get(value, "$", "string"))
     low = F.lower(text)
     of_text = (
         F.when(F.length(text) > 256, "invalid_expansion_metadata_value")
         .when(text.contains("@") | text.contains("://") | low.contains("bearer ") | low.contains("token="), "raw_expansion_metadata_value")
-        .when(F.trim(key).isin(*HASH_KEYS), F.when((text != "") & ~text.rlike(f"^sha256:{TOKEN}$"), "invalid_expansion_metadata_hash"))
+        .when(stripped(key).isin(*HASH_KEYS), F.when((text != "") & ~text.rlike(f"^sha256:{TOKEN}$"), "invalid_expansion_metadata_hash"))
         .when(~text.rlike(f"^{TOKEN}$") | (F.length(F.regexp_replace(text, r"[^\p{Nd}]", "")) >= 7), "raw_expansion_metadata_value")
     )
     return F.when(kind == "STRING", of_text).when(kind.rlike("^(OBJECT|ARRAY)"), "invalid_expansion_metadata_value")
@@ -83,11 +92,11 @@ def validated(raw: DataFrame) -> DataFrame:
             "members": F.try_variant_get("v", "$.payload", "map<string,variant>"),
         }
     )
-    blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
+    blank = lambda c: F.coalesce(stripped(F.col(c)), F.lit("")) == ""
     zoned = lambda c: F.col(c).rlike(r"(Z|[+-]\d\d:?\d\d)$") & F.try_to_timestamp(F.col(c)).isNotNull()
     is_a = lambda c, k: F.coalesce(F.col(c).startswith(k), F.lit(False))
     all_text = F.forall("scopes", lambda x: F.schema_of_variant(x) == "STRING")
-    analytics = F.exists("scopes", lambda x: F.lower(F.trim(F.try_variant_get(x, "$", "string"))) == "analytics")
+    analytics = F.exists("scopes", lambda x: F.lower(stripped(F.try_variant_get(x, "$", "string"))) == "analytics")
     rules = [
         (F.coalesce(F.octet_length("value"), F.lit(0)) == 0, "empty_value"),
         (F.col("v").isNull(), "invalid_json"),
@@ -113,7 +122,7 @@ def validated(raw: DataFrame) -> DataFrame:
         (blocked(F.col("payload_json")), "blocked_payload_identifier"),
     ]
     for event, allowed in ADMIN_KEYS.items():
-        keys = F.transform(F.json_object_keys("payload_json"), F.trim)
+        keys = F.transform(F.json_object_keys("payload_json"), stripped)
         extra = F.size(F.array_except(keys, F.array(*map(F.lit, allowed)))) > 0
         rules.append(((F.col("t_event_name") == event) & extra, "unsupported_expansion_metadata_field"))
     # An array of verdicts, not a chain of cases: the optimizer takes long chains apart again and again.
@@ -121,7 +130,7 @@ def validated(raw: DataFrame) -> DataFrame:
     wrong = F.when(F.col("t_event_name").isin(*ADMIN_KEYS), F.transform(F.map_entries("members"), lambda e: metadata_code(e["key"], e["value"])))
     verdicts = F.array_compact(F.concat(verdicts, F.coalesce(wrong, F.array().cast("array<string>"))))
     df = df.withColumn("error_code", F.get(verdicts, F.lit(0)))
-    safe = lambda c: F.when(~blank(c) & ~F.col(c).contains("@") & (F.length(F.trim(c)) <= 200), F.trim(c))
+    safe = lambda c: F.when(~blank(c) & ~F.col(c).contains("@") & (F.length(stripped(c)) <= 200), stripped(c))
     sha = lambda c: F.concat(F.lit("sha256:"), F.sha2(c, 256))
     when = lambda c: F.try_to_timestamp(F.col(f"t_{c}"))
     good = F.col("error_code").isNull()

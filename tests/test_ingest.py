@@ -43,6 +43,10 @@ CASES = [
     ({"producer": None}, "missing_producer"),
     ({"subject": {"session_id": "s"}}, "missing_subject_hash"),
     ({"event_id": None}, "missing_event_id"),
+    ({"event_id": "\t\u3000\n"}, "missing_event_id"),
+    ({"producer": "\r\n"}, "missing_producer"),
+    ({"consent_scope": ["\tANALYTICS\n"]}, None),
+    ({"subject": {"user_hash": "h", "\temail\n": 1}}, "blocked_subject_identifier"),
 ]
 
 
