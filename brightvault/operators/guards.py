@@ -76,3 +76,25 @@ LEAKS = (
 )
 guard("contract_landing", landing=LEAKS)
 guard("landing_smoke_metrics", landing=LEAKS)
+guard(
+    "inv_link",
+    link_participants=(
+        None, ("model_name = 'l_event_participant' AND participant_role = 'event_hk' AND link_hk < '2'", "participant_hk", "CAST(NULL AS VARCHAR(9))"),
+        ("model_name = 'l_user_channel_session' AND first AND link_hk < '2'", "record_source", "' '"), ("model_name = 'link_reaction_content' AND first AND link_hk < '2'", "signature", "concat(signature, 'x')"),
+    ),
+    h_channel=("channel_hk < '8'",),
+)
+guard(
+    "inv_pit_content",
+    pit_content_daily=(
+        None, ("content_hk < '4'",), ("content_hk < '8'", "restatement_state", "CAST(NULL AS VARCHAR(9))"), ("content_hk >= '8'", "as_of_datetime", "TIMESTAMP '2024-01-01 00:00:00'"),
+        ("content_hk < '8'", "late_arriving_event_count", "late_arriving_event_count + 1"), ("content_hk >= '4'", "deleted_or_opted_out_subject_count", "{{long|2}}"),
+    ),
+)
+guard(
+    "inv_mart_metadata",
+    mart_rows=(
+        None, ("model_name = 'mart_emoji_reaction_daily'", "reporting_timezone", "'UTC'"), ("model_name = 'mart_reaction_valence_daily'", "wording_status", "'guess'"),
+        ("model_name = 'mart_together_coordination_daily'", "source_completeness_label", "'whole'"), ("model_name = 'mart_occupation_cohort_daily'", "metric_contract_ids", "''"),
+    ),
+)

@@ -85,6 +85,24 @@ def smoke(table: str) -> str:
     )
 
 
+#: Which events a stage takes, and what they must have to stay.
+TAKEN = {
+    "stg_content_events": ("(event_name IN ('reaction_added', 'reaction_removed', 'reply_created', 'post_impression') OR starts_with(event_name, 'feed_item_'))", f"{CONTENT_KEY} IS NOT NULL"),
+    "stg_reactions": ("event_name IN ('reaction_added', 'reaction_removed', 'feed_item_like')", f"{CONTENT_KEY} IS NOT NULL"),
+    "stg_feed_events": ("starts_with(event_name, 'feed_item_')", f"coalesce({member('item_id')}, {member('entity_id')}) IS NOT NULL"),
+    "stg_channel_sessions": ("event_name IN ('channel_session_started', 'channel_session_ended')", f"{member('channel_id')} <> ''"),
+    "stg_event_funnel": ("starts_with(event_name, 'event_')", f"coalesce({member('event_id')}, {member('community_event_id')}, {member('entity_id')}) IS NOT NULL"),
+    "stg_together_items": ("starts_with(event_name, 'together_')", "true"),
+}
+OFFERED = "offered AS (" + " UNION ALL ".join(f"SELECT '{m}' AS m, event_id, {DAY} AS d, coalesce({stays}, false) AS stays FROM landing WHERE {takes}" for m, (takes, stays) in TAKEN.items()) + ")"
+# A lifecycle record per event, checked; its rare cells need twenty people, the others ten.
+CANDIDATES = """records AS (
+  SELECT 'rec:' || event_id AS ref, source_offset AS n, occurred_at, source_offset % 31 - 1 AS people, source_offset % 7 <> 0 AS free, source_offset % 3 = 0 AS rare, source_offset % 4 AS state,
+         CASE source_offset % 9 WHEN 0 THEN 'analytics_opt_out' WHEN 1 THEN 'account_deletion' WHEN 2 THEN 'recap_opt_out' WHEN 3 THEN 'feed_profile_reset' END AS request, event_name
+  FROM landing WHERE source_offset % 53 <> 0 AND source_offset % 6 > 0 AND source_offset % 31 > 0 AND source_offset % 9 <> 4),
+candidates AS (SELECT *, free AND people >= CASE WHEN rare THEN 20 ELSE 10 END AS good FROM records WHERE n % 5 <> 0 AND occurred_at + to_days((n % 6)::INT) <= TIMESTAMP '2024-01-05 00:00:00')"""
+
+
 def by_hand(landing: str) -> dict[str, str]:
     base = f"WITH landing AS ({landing}), "
     loads = "min(landed_at) AS load_datetime, 'analytics.raw_event_landing' AS record_source"
@@ -93,6 +111,20 @@ def by_hand(landing: str) -> dict[str, str]:
         "contract_landing_guard": base + f"{LEAKED} {landing_contract('leaked')}",
         "landing_smoke_metrics": base + f"x AS (SELECT 1) {smoke('landing')}",
         "landing_smoke_metrics_guard": base + f"{LEAKED} {smoke('leaked')}",
+        "stage_reconciliation": base + OFFERED
+        + " SELECT m AS source_model, d AS reporting_date, count(*) AS accepted_source_count, count(DISTINCT event_id) AS accepted_source_distinct_event_count, count(*) FILTER (stays) AS row_count,"
+        " count(DISTINCT event_id) FILTER (stays) AS distinct_event_count, count(*) FILTER (NOT stays) AS expected_excluded_count, 0::BIGINT AS missing_business_key_count, 0::BIGINT AS expected_rejected_count,"
+        " 0::BIGINT AS expected_dlq_count, 0::BIGINT AS expected_deduplicated_replay_count, 0::BIGINT AS expected_suppression_count, 'Europe/Istanbul' AS reporting_timezone, 'accepted_landing_to_stage' AS accounting_scope,"
+        " 'analytics.raw_event_landing' AS source_relation, m AS target_relation, 0::BIGINT AS unexplained_delta, 'explained' AS reconciliation_status FROM offered GROUP BY m, d",
+        "privacy_purge_refs": base + CANDIDATES + " SELECT ref AS source_record_ref FROM candidates WHERE state < 3 UNION SELECT ref FROM records WHERE request IS NOT NULL",
+        "privacy_published_aggregates": base + CANDIDATES
+        + " SELECT 'source-bound-anon-candidate:' || ref AS candidate_id, ref AS source_record_ref, 'group:' || event_name AS anonymous_group, people::INT AS cell_count, 'evidence:' || replace(ref, 'rec:', '') AS evidence_id FROM candidates WHERE good",
+        "privacy_decision_counts": base + CANDIDATES
+        + ", a AS (SELECT 'retention_candidate_identified' AS action, ref FROM candidates UNION ALL SELECT CASE WHEN good THEN 'anonymous_candidate_check_passed' ELSE 'anonymous_candidate_check_failed' END, ref FROM candidates"
+        " UNION ALL SELECT 'anonymization_failure_incident_recorded', ref FROM candidates WHERE NOT good UNION ALL SELECT 'anonymous_aggregate_published', ref FROM candidates WHERE good"
+        " UNION ALL SELECT 'personal_or_pseudonymous_state_purged', ref FROM (SELECT ref FROM candidates WHERE state < 3 UNION SELECT ref FROM records WHERE request IS NOT NULL) UNION ALL SELECT 'cleanup_' || request, ref FROM records WHERE request IS NOT NULL)"
+        " SELECT action, count(*) AS n, count(DISTINCT ref) AS records FROM a GROUP BY action",
+        "hourly_rollup_merge": base + "x AS (SELECT 1) SELECT time_bucket(INTERVAL 1 HOUR, occurred_at) AS event_hour, event_name, privacy_class, count(*) AS event_count FROM landing GROUP BY ALL",
         "reporting_date": base + f"x AS (SELECT 1) SELECT event_id, occurred_at, {DAY} AS reporting_date FROM landing",
         "hub_reporting_reaction": base + REACTED + f" SELECT reaction_hk, event_id AS reaction_business_key, {loads} FROM reacted GROUP BY ALL",
         "link_reaction_content": base + REACTED + f" SELECT md5(reaction_hk || '||' || content_hk) AS link_hk, reaction_hk, content_hk, {loads} FROM reacted GROUP BY reaction_hk, content_hk",

@@ -53,9 +53,18 @@ def version(spark: SparkSession, path: str) -> str:
 _stored: dict[tuple[str, str, str, str], str] = {}
 
 
+#: Setting: a folder in which stored tables stay, for all applications; without it they go with the application.
+TABLES = "spark.brightvault.tables"
+
+
 def stored(spark: SparkSession, source: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table made once per application and version of its ``source``, then read."""
-    key = (spark.sparkContext.applicationId, source, version(spark, source), name)
+    """A table made once per version of its ``source``, then read: once for all applications where TABLES names
+    a folder, which a job may fill ahead of them, else once per application."""
+    now = version(spark, source)
+    home = spark.conf.get(TABLES, None)
+    if home:
+        return kept(spark, f"{home.rstrip('/')}/{name}-{uuid.uuid5(uuid.NAMESPACE_URL, source).hex[:12]}", now, make)
+    key = (spark.sparkContext.applicationId, source, now, name)
     path = _stored.get(key)
     if path:
         hadoop, system = place(spark, path)
@@ -63,3 +72,16 @@ def stored(spark: SparkSession, source: str, name: str, make: Callable[[], DataF
             return spark.read.parquet(path)
     table, _stored[key] = write_table(make(), name)
     return table
+
+
+def kept(spark: SparkSession, root: str, now: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table of version ``now`` below ``root``; it is written aside and renamed, so that it is there whole or not at all."""
+    done, system = place(spark, f"{root}/{now}")
+    if not system.exists(done):
+        aside = f"{root}/.{uuid.uuid4().hex}"
+        make().write.parquet(aside)
+        if not system.rename(place(spark, aside)[0], done) or system.exists(place(spark, f"{root}/{now}/{aside.rsplit('/', 1)[1]}")[0]):
+            # Another application was first: its table stands.
+            system.delete(place(spark, aside)[0], True)
+            system.delete(place(spark, f"{root}/{now}/{aside.rsplit('/', 1)[1]}")[0], True)
+    return spark.read.parquet(f"{root}/{now}")

@@ -46,10 +46,14 @@ def stripped(c: Column | str) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
+#: A blank as JSON writes it within a string.
+ESCAPED_BLANK = r"\\(?:[tnrf]|u00(?:0[bB]|1[c-fC-F]))"
+
+
 def all_keys(text: Column) -> Column:
     """Key names of a JSON text, at any depth, as they are written."""
     found = F.arrays_zip(F.regexp_extract_all(text, F.lit(STRINGS), F.lit(1)).alias("k"), F.regexp_extract_all(text, F.lit(STRINGS), F.lit(2)).alias("c"))
-    return F.transform(F.filter(found, lambda x: F.length(F.trim(x["c"])) > 0), lambda x: x["k"])
+    return F.transform(F.filter(found, lambda x: F.length(F.trim(x["c"])) > 0), lambda x: F.regexp_replace(x["k"], ESCAPED_BLANK, " "))
 
 
 def keys_at_any_depth(text: Column) -> Column:

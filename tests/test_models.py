@@ -82,6 +82,10 @@ def test_satellite_conflicts_and_replays(spark, tables):
 VIOLATIONS = {
     "inv_hub_guard": {"hub_required_field_null", "duplicate_hash_key", "business_key_hash_drift", "hash_key_business_key_drift"},
     "inv_satellite_guard": {"satellite_grain_conflict", "satellite_duplicate_exact_replay", "satellite_hashdiff_state_drift", "satellite_event_timestamp_missing"},
+    "inv_link_guard": {"link_or_participant_key_null", "link_load_metadata_missing", "duplicate_link_hash_key", "link_hash_participant_drift", "channel_hub_missing"},
+    "inv_pit_content_guard": {
+        "pit_duplicate_daily_grain", "pit_required_field_null", "pit_selected_satellite_after_as_of", "pit_late_arrival_not_surfaced_or_blocked", "pit_deleted_or_opted_out_subject_reappeared",
+    },
     "inv_bdv_formula_guard": {"emoji_usage_count_mismatch", "reaction_valence_count_mismatch", "occupation_share_out_of_range", "together_coordination_score_mismatch"},
     "inv_mart_contract_ids_guard": {"missing_contract", "invalid_contract_metadata"},
     "privacy_invariants_guard": {"failed_candidate_published", "missing_audit_kind"},
@@ -97,7 +101,7 @@ def test_guards_find_each_fault(spark, name):
     assert {r.violation for r in catalog.queries()[name](spark, DIR).select("violation").distinct().collect()} >= VIOLATIONS[name]
 
 
-@pytest.mark.parametrize("name", ["inv_reconciliation_negative", "inv_mart_duplicate_keys_guard", "inv_voice_gate_guard", "hourly_parity_guard", "inv_forbidden_columns_guard", "inv_voice_forbidden_columns_guard"])
+@pytest.mark.parametrize("name", ["inv_reconciliation_negative", "inv_mart_metadata_guard", "inv_mart_duplicate_keys_guard", "inv_voice_gate_guard", "hourly_parity_guard", "inv_forbidden_columns_guard", "inv_voice_forbidden_columns_guard"])
 def test_guards_find_something(spark, name):
     assert not catalog.queries()[name](spark, DIR).isEmpty()
 
@@ -121,6 +125,38 @@ def test_a_changed_input_is_landed_anew(spark, tmp_path):
     assert adapter.stored(spark, str(tmp_path)).count() == 15
 
 
+def test_tables_stay_for_other_applications_where_a_folder_is_named(spark, tmp_path):
+    from brightvault.sources import shared
+
+    source, made = tmp_path / "in", []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    spark.range(1).write.parquet(str(source))
+    spark.conf.set(shared.TABLES, str(tmp_path / "tables"))
+    try:
+        assert [shared.stored(spark, str(source), "t", make).count() for _ in range(2)] == [3, 3] and len(made) == 1
+        shared._stored.clear()  # as another application would begin
+        assert shared.stored(spark, str(source), "t", make).count() == 3 and len(made) == 1
+        spark.range(1).write.mode("append").parquet(str(source))
+        shared.stored(spark, str(source), "t", make)
+        assert len(made) == 2
+    finally:
+        spark.conf.unset(shared.TABLES)
+
+
+def test_a_change_deep_below_is_a_new_version(spark, tmp_path):
+    from brightvault.sources.shared import version
+
+    spark.range(4).selectExpr("id", "id % 2 AS a", "id % 2 AS b").write.partitionBy("a", "b").parquet(str(tmp_path / "t"))
+    one = version(spark, str(tmp_path / "t"))
+    assert version(spark, str(tmp_path / "t")) == one
+    spark.range(1).write.mode("append").parquet(str(tmp_path / "t" / "a=0" / "b=0"))
+    assert version(spark, str(tmp_path / "t")) != one
+
+
 def trust_row(**change):
     base = {"asset_key": "a", "reporting_date": datetime.date(2024, 1, 2), "reporting_timezone": "z", "asset_layer": "x", "freshness_evaluation_basis": "b", "freshness_timestamp_field": "f", "freshness_target_minutes": 60,
             "max_clock_skew_minutes": 5, "late_arrival_grace_minutes": 180, "expected_minimum_mode": "one_to_one_partition", "asset_required_for_publication": True, "upstream_activity_count": 5,
