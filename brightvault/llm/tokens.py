@@ -33,6 +33,19 @@ SHORT, KEPT = 48, 150_000
 NONE = 1 << 60
 
 
+def same_kind(spec: dict) -> None:
+    """Raises where a tokenizer file asks for anything that is not built here."""
+    cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    built = {
+        "normalizer": spec.get("normalizer") is None, "post_processor": spec.get("post_processor") is None,
+        "pre_tokenizer": cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True), "decoder": (spec.get("decoder") or {}).get("type") == "ByteLevel",
+        "model": model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")),
+        "added_tokens": not any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+    }
+    if not all(built.values()):
+        raise ValueError(f"not built for this tokenizer file: {sorted(k for k, ok in built.items() if not ok)}")
+
+
 def load(path: str | None = None) -> dict:
     """Tables of a tokenizer file: merges by pair of ids, bytes by id, special tokens."""
     if path is None:
@@ -41,6 +54,7 @@ def load(path: str | None = None) -> dict:
         path = public_tokenizers.path("byte_bpe_50k.json")
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    same_kind(spec)
     # Byte-level files print each byte as one character: itself where that is printable, else the next from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -64,7 +78,7 @@ class Bpe:
         self.merges, self.bytes, self.start, self.special = (tables[k] for k in ("merges", "bytes", "start", "special"))
         self.cuts = regex.compile(PATTERN)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def short(self, parts: list[int]) -> list[int]:
         """Merges on two contiguous arrays: part ids and the ranks of neighbours."""
@@ -104,40 +118,45 @@ class Bpe:
                 heapq.heappush(heap, (m[0], h, m[1], parts[h], new))
         return [p for p in parts if p >= 0]
 
-    def word(self, word: str) -> tuple[tuple[int, ...], str]:
+    def word(self, word: str) -> tuple[tuple[int, ...], str, bytes]:
+        """Its ids, the ids in print, and the bytes that they decode to."""
         raw = word.encode("utf-8", "replace")
         start = self.start
         parts = [start[b] for b in raw]
         ids = tuple(self.short(parts) if len(parts) <= SHORT else self.long(parts))
-        out = ids, ",".join(map(str, ids))
+        out = ids, ",".join(map(str, ids)), b"".join(map(self.bytes.__getitem__, ids))
         if len(raw) <= SHORT:
             if len(self.known) >= KEPT:
                 self.known.clear()
             self.known[word] = out
         return out
 
-    def pieces(self, text: str):
-        """(ids, printed ids) of each word in turn."""
-        known, word = self.known, self.word
-        for part in self.marks.split(text) if self.marks else [text]:
+    def pieces(self, text: str) -> list[tuple[tuple[int, ...], str, bytes]]:
+        """What :meth:`word` gives for each word in turn."""
+        known, word, cuts = self.known, self.word, self.cuts.findall
+        if not self.marks or not self.marks.search(text):
+            return [known.get(w) or word(w) for w in cuts(text)]
+        out = []
+        for part in self.marks.split(text):
             if part in self.special:
-                yield (self.special[part],), str(self.special[part])
+                i = self.special[part]
+                out.append(((i,), str(i), self.bytes[i]))
             else:
-                for w in self.cuts.findall(part):
-                    yield known.get(w) or word(w)
+                out += [known.get(w) or word(w) for w in cuts(part)]
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [i for ids, _ in self.pieces(text or "") for i in ids]
+        return [i for ids, _, _ in self.pieces(text or "") for i in ids]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
-        found = list(self.pieces(text or ""))
-        ids = [i for part, _ in found for i in part]
-        printed = ",".join([p for _, p in found])
-        back = self.decode(ids)
-        return len(ids), hashlib.sha256(printed.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
+        found = self.pieces(text or "")
+        n = sum([len(ids) for ids, _, _ in found])
+        printed = ",".join([p for _, p, _ in found])
+        back = b"".join([b for _, _, b in found]).decode("utf-8", "replace")
+        return n, hashlib.sha256(printed.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
 
 #: The encoder that this worker process made last, by the name of its tables.

@@ -183,3 +183,12 @@ def test_divergences_against_plain_sums(spark, monkeypatch, spill, side, few):
     got = [tuple(r) for r in divergence.divergences(df.select("lang", "source", "text"), top=7, spill=spill).collect()]
     assert len(got) == len(set(got)) and set(got) == plain_divergences(docs, 3, 7)
     assert divergence.divergences(df.limit(0)).count() == 0
+
+
+def test_a_tokenizer_file_of_another_kind_is_refused():
+    import public_tokenizers
+
+    from brightvault.llm import tokens
+
+    with pytest.raises(ValueError, match="not built"):
+        tokens.load(public_tokenizers.path("word_bpe_49k.json"))
