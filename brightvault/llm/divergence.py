@@ -23,6 +23,7 @@ equal values rank by the bytes of the item; an empty table gives no rows; other
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,21 +53,21 @@ def folded(docs: DataFrame, spill: int = SPILL) -> DataFrame:
         held = 0
 
         def sent() -> pd.DataFrame:
-            rows = [(lang, t.decode("utf-8", "replace"), source, n, d) for (lang, source), of in stripes.items() for t, (n, d) in of.items()]
-            return pd.DataFrame(rows, columns=["lang", "term", "source", "n", "docs"])
+            rows = [(lang, source, t, n, d) for (lang, source), of in stripes.items() for t, (n, d) in of.items()]
+            lang, source, term, n, docs = zip(*rows, strict=True)
+            return pd.DataFrame({"lang": lang, "term": [t.decode("utf-8", "replace") for t in term], "source": source, "n": n, "docs": docs})
 
         for batch in batches:
             for lang, source, text in batch.itertuples(index=False):
                 mine = stripes.setdefault((lang, source), {b"": [0, 0]})
-                before, seen = len(mine), set()
-                for t in terms(text):
+                before = len(mine)
+                for t, n in Counter(terms(text)).items():
                     at = mine.get(t)
                     if at is None:
-                        at = mine[t] = [0, 0]
-                    at[0] += 1
-                    seen.add(t)
-                for t in seen:
-                    mine[t][1] += 1
+                        mine[t] = [n, 1]
+                    else:
+                        at[0] += n
+                        at[1] += 1
                 held += len(mine) - before
                 if held >= spill:
                     yield sent()
