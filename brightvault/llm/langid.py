@@ -11,7 +11,7 @@ fitted in a task of its own, and only weights come back to the driver.
 Languages without a family of their own form one together.
 
 Defined cases: a null text, or one without a letter (Unicode class L), is ``und``
-with score 0; rows whose lang is null teach nothing; when nothing can be learned
+with score 0; rows whose lang is null teach nothing, and rows that repeat id, lang and text teach once; when nothing can be learned
 every document is ``und``; with one language only, each lettered text has it.
 The new columns take the first free names of lang_pred and score (then lang_pred_, ...).
 """
@@ -117,7 +117,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, per_family: int = PER_FAMIL
     def vector(texts: pd.Series) -> pd.Series:
         return pd.Series([trigrams(t).tobytes() if LETTER.search(t) else None for t in texts])
 
-    picked = known.withColumns({"turn": spread("doc_id", "text"), "rate": rate}).where("turn < rate").limit(2 * per_lang * len(count))
+    picked = known.withColumns({"turn": spread("doc_id", "text"), "rate": rate}).where("turn < rate")
+    # A row that is repeated has one turn, and teaches once however often it stands there.
+    picked = picked.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "lang", "h"]).limit(2 * per_lang * len(count))
     # ``turn`` runs evenly up to ``rate``: its lower part is a sample of the sample.
     picked = picked.select("lang", (F.col("turn") / F.col("rate") * len(count) * per_lang < per_family).alias("few"), F.col("doc_id").cast("string").alias("id"), vector("text").alias("x"))
     picked = stash(picked.where("x IS NOT NULL"), "vectors")

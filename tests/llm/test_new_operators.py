@@ -192,3 +192,18 @@ def test_a_tokenizer_file_of_another_kind_is_refused():
 
     with pytest.raises(ValueError, match="not built"):
         tokens.load(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_a_labelled_row_that_is_a_third_of_all_teaches_once(spark):
+    from brightvault.llm import langid
+
+    rng = random.Random(2)
+    words = {"xx": ["abra", "kadabra", "simsala"], "yy": ["ollo", "pollo", "mollo"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=12)), lang) for i in range(0, 120) for lang in words]
+    twice = next(r for r in rows if (r[0], r[2]) == (1, "xx"))
+    ddl = "doc_id long, text string, lang string"
+    once = langid.train(spark.createDataFrame(rows, ddl), per_lang=10**6, per_family=10**9)
+    often = langid.train(spark.createDataFrame(rows + [twice] * 120, ddl), per_lang=10**6, per_family=10**9)
+    for text in ("abra ollo", "kadabra abra", "mollo"):
+        a, b = once.predict(text), often.predict(text)
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-9
