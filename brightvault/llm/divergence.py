@@ -53,9 +53,14 @@ def folded(docs: DataFrame, spill: int = SPILL) -> DataFrame:
         held = 0
 
         def sent() -> pd.DataFrame:
-            rows = [(lang, source, t, n, d) for (lang, source), of in stripes.items() for t, (n, d) in of.items()]
-            lang, source, term, n, docs = zip(*rows, strict=True)
-            return pd.DataFrame({"lang": lang, "term": [t.decode("utf-8", "replace") for t in term], "source": source, "n": n, "docs": docs})
+            cols: dict[str, list] = {c: [] for c in ("lang", "term", "source", "n", "docs")}
+            for (lang, source), of in stripes.items():
+                cols["lang"] += [lang] * len(of)
+                cols["source"] += [source] * len(of)
+                cols["term"] += [t.decode("utf-8", "replace") for t in of]
+                cols["n"] += [v[0] for v in of.values()]
+                cols["docs"] += [v[1] for v in of.values()]
+            return pd.DataFrame(cols)
 
         for batch in batches:
             for lang, source, text in batch.itertuples(index=False):
@@ -129,9 +134,8 @@ def both(found: DataFrame, side: int = SIDE) -> DataFrame:
             return d * d // q[None, :]
 
         for batch in batches:
-            for lang, stripe in batch.itertuples(index=False):
-                keys = [(lang, s["source"]) for s in stripe]
-                p, p0 = (np.array([s[c] for s in stripe], np.int64) for c in ("p", "p0"))
+            for lang, sources, p, p0 in batch.itertuples(index=False):
+                keys = [(lang, s) for s in sources]
                 blocks = [slice(i, i + side // 2) for i in range(0, len(keys), side // 2)]
                 for x in blocks:
                     for y in blocks:
@@ -147,7 +151,7 @@ def both(found: DataFrame, side: int = SIDE) -> DataFrame:
         yield sent()
 
     stripes = found.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "p0")).alias("stripe"))
-    return stripes.where(F.size("stripe") > 1).select("lang", "stripe").mapInPandas(fold, "lang string, a string, b string, value long")
+    return stripes.where(F.size("stripe") > 1).select("lang", "stripe.source", "stripe.p", "stripe.p0").mapInPandas(fold, "lang string, a string, b string, value long")
 
 
 def pairs(found: DataFrame, groups: DataFrame) -> DataFrame:
