@@ -5,7 +5,8 @@ the part boundaries and the rank of each pair of neighbours lie in two short
 arrays: the least rank is sought, its boundary deleted, and the ranks beside it
 refreshed, until no pair has a rank.  Long words, where that scan would grow
 with the square, take the same merges from a heap.  Each worker keeps the
-tokens of a bounded number of words.
+tokens of a bounded number of words, in two generations: those that come again
+outlast the others.
 
 The tokenizer's file is read by the driver and sent to the workers.
 
@@ -29,8 +30,11 @@ from brightvault.llm.common import small_batches, table, unused
 
 #: The byte-level pattern of the public tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SHORT, KEPT = 48, 150_000
-NONE = 1 << 60
+#: Bytes of a word that is merged by scans, and words of a generation.
+SHORT, KEPT = 48, 200_000
+#: A pair of ids is one number, and so are the rank of its merge and the new id: ids have less than WIDTH bits.
+WIDTH = 24
+LOW, NONE = (1 << WIDTH) - 1, 1 << 60
 
 
 def same_kind(spec: dict) -> None:
@@ -78,24 +82,25 @@ class Bpe:
         self.merges, self.bytes, self.start, self.special = (tables[k] for k in ("merges", "bytes", "start", "special"))
         self.cuts = regex.compile(PATTERN)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.pairs = {a << WIDTH | b: rank << WIDTH | new for (a, b), (rank, new) in self.merges.items()}
         self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def short(self, parts: list[int]) -> list[int]:
         """Merges on two contiguous arrays: part ids and the ranks of neighbours."""
-        merges = self.merges
-        none = (NONE, 0)
-        ranks = [merges.get(p, none) for p in zip(parts, parts[1:], strict=False)]
+        rank = self.pairs.get
+        ranks = [rank(a << WIDTH | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
         while ranks:
             best = min(ranks)
-            if best[0] == NONE:
+            if best == NONE:
                 break
             i = ranks.index(best)
-            parts[i] = best[1]
+            parts[i] = new = best & LOW
             del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = merges.get((parts[i], parts[i + 1]), none)
+                ranks[i] = rank(new << WIDTH | parts[i + 1], NONE)
             if i:
-                ranks[i - 1] = merges.get((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = rank(parts[i - 1] << WIDTH | new, NONE)
         return parts
 
     def long(self, parts: list[int]) -> list[int]:
@@ -120,15 +125,17 @@ class Bpe:
 
     def word(self, word: str) -> tuple[tuple[int, ...], str, bytes]:
         """Its ids, the ids in print, and the bytes that they decode to."""
-        raw = word.encode("utf-8", "replace")
-        start = self.start
-        parts = [start[b] for b in raw]
-        ids = tuple(self.short(parts) if len(parts) <= SHORT else self.long(parts))
-        out = ids, ",".join(map(str, ids)), b"".join(map(self.bytes.__getitem__, ids))
-        if len(raw) <= SHORT:
-            if len(self.known) >= KEPT:
-                self.known.clear()
-            self.known[word] = out
+        out = self.known.get(word) or self.older.get(word)
+        if out is None:
+            parts = [*map(self.start.__getitem__, word.encode("utf-8", "replace"))]
+            size = len(parts)
+            ids = tuple(self.short(parts) if size <= SHORT else self.long(parts))
+            out = ids, ",".join(map(str, ids)), b"".join(map(self.bytes.__getitem__, ids))
+            if size > SHORT:
+                return out
+        if len(self.known) >= KEPT:
+            self.known, self.older = {}, self.known
+        self.known[word] = out
         return out
 
     def pieces(self, text: str) -> list[tuple[tuple[int, ...], str, bytes]]:
